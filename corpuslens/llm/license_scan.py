@@ -51,19 +51,20 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(threshold / (2 - threshold) * size - 1e-9), math.floor((2 - threshold) / threshold * size + 1e-9)
 
 
-def anchor_words(text: str, threshold: float) -> list[str]:
-    """Words such that a unit without any of them can't reach the threshold: longest first."""
+def anchors(text: str, threshold: float) -> list[str]:
+    """Words and bigrams such that a unit without any of them can't reach the threshold.
+
+    Words of five letters or more first, the longest ones first, then the longest bigrams.
+    """
     left = bigrams(normal_words(text))
     need = len(left) - size_bounds(len(left), threshold)[0] + 1
     chosen: list[str] = []
-    covered = 0
-    for word in sorted({w for b in left for w in b.split()}, key=lambda w: (-len(w), w)):
-        if covered >= need:
-            break
-        held = [b for b in left if word in b.split()]
-        if held:
-            chosen.append(word)
-            covered += len(held)
+    words = sorted({w for b in left for w in b.split() if len(w) > 4}, key=lambda w: (-len(w), w))
+    for anchor in [*words, *sorted(left, key=lambda b: (-len(b), b))]:
+        held = [b for b in left if anchor in (b, *b.split())]
+        if need > 0 and held:
+            chosen.append(anchor)
+            need -= len(held)
             left = [b for b in left if b not in held]
     return chosen
 
@@ -76,7 +77,7 @@ def template_rows(templates: dict[str, str], threshold: float) -> list[tuple[str
     out = []
     for name, text in sorted(templates.items()):
         if pairs := bigrams(normal_words(text)):
-            out.append((name, pairs, *size_bounds(len(pairs), threshold), anchor_words(text, threshold)))
+            out.append((name, pairs, *size_bounds(len(pairs), threshold), anchors(text, threshold)))
     return out
 
 
@@ -92,9 +93,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     """
     rows = template_rows(TEMPLATES if templates is None else templates, threshold)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    words = sorted({w for r in rows for w in r[4]})
+    found = {w for r in rows for w in r[4]}
+    words = sorted(w for w in found if not any(o != w and o in w for o in found))
     anchor = " or ".join(f"contains(u, {_sql(w)})" for w in words) or "false"
-    some_anchor = anchor.replace("contains(u,", "contains(lower(t),")
+    pairs = "|".join(w.replace(" ", "[^a-z0-9]+") for w in words if " " in w)
+    some_anchor = " or ".join([*(f"contains(v, {_sql(w)})" for w in words if " " not in w), *([f"v rlike '{pairs}'"] if pairs else [])]) or "false"
     low = "lower(regexp_replace(t, '[^A-Za-z0-9\n]+', ' '))"
     units = f"filter(if(instr(n, '\n') > 0, concat(split(n, '\n'), array(replace(n, '\n', ' '))), array(n)), u -> {anchor})"
     sets = "transform(x, u -> transform(array(filter(split(u, ' '), w -> w <> '')), w -> if(size(w) < 2, cast(array() as array<string>), array_distinct(transform(sequence(1, size(w) - 1), i -> concat(w[i - 1], ' ', w[i])))))[0])"
@@ -105,10 +108,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
         "m -> named_struct('score', 2D * size(array_intersect(a, m.b)) / (size(a) + size(m.b)), 'name', m.name))"
     )
     best = f"aggregate({scores}, named_struct('score', 0D, 'name', cast(null as string)), (s, c) -> if(c.score > s.score, c, s))"
-    some = own.select("doc_id", F.expr(f"if({some_anchor}, transform(array({low}), n -> {units})[0], cast(array() as array<string>))").alias("x"))
-    found = some.select("doc_id", F.expr(f"filter(transform({sets}, a -> {best}), s -> s.score >= {threshold}D)").alias("hits"))
+    marked = own.select("doc_id", "t", F.lower("t").alias("v")).select("doc_id", "t", F.expr(some_anchor).alias("some"))
+    some = marked.select("doc_id", F.expr(f"if(some, transform(array({low}), n -> {units})[0], cast(array() as array<string>))").alias("x"))
+    scored = some.select("doc_id", F.expr(f"filter(transform({sets}, a -> {best}), s -> s.score >= {threshold}D)").alias("hits"))
     top = "aggregate(hits, named_struct('score', 0D, 'name', cast(null as string)), (s, c) -> if(c.score > s.score or (c.score = s.score and c.name < s.name), c, s))"
-    return found.select("doc_id", F.expr("size(hits)").cast("long").alias("n_units"), F.expr("array_join(array_sort(array_distinct(hits.name)), ',')").alias("licenses"), F.expr(top).alias("top")).select("doc_id", F.col("top.name").alias("license"), F.col("top.score").alias("score"), "n_units", "licenses")
+    return scored.select("doc_id", F.expr("size(hits)").cast("long").alias("n_units"), F.expr("array_join(array_sort(array_distinct(hits.name)), ',')").alias("licenses"), F.expr(top).alias("top")).select("doc_id", F.col("top.name").alias("license"), F.col("top.score").alias("score"), "n_units", "licenses")
 
 
 def oracle(threshold: float = THRESHOLD) -> str:
