@@ -1,6 +1,8 @@
-"""Queries of the engine, by name, with their SQL for DuckDB."""
+"""All queries of the engine, by name, with their SQL for DuckDB."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from corpuslens.plans import composition, labels, relational, scalar  # noqa: F401  (they register)
+from corpuslens.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

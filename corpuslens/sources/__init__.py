@@ -1,0 +1 @@
+"""Tables, and readers and writers for files."""
