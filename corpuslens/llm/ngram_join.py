@@ -13,11 +13,12 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    prefix is long is done. The rest (texts with near copies) are the table ``sets``.
 4. Prefix shingles are joined, with the length and positional filters in the join's
    condition. Pairs are made distinct, pass a suffix filter and are verified once.
-5. A long list of classes under one prefix shingle is not paired with itself. First each
-   list is held against one central class of it (a few rounds of that), and classes that
-   links connect are merged. Then all pairs that are still in different components, and
-   only these, are verified. So components are exact, and a large group of near copies
-   takes as many pairs as it has members.
+5. A long list of classes under one prefix shingle is not paired with itself. First, classes
+   that agree in the least of their shared shingles under a hash are held against one
+   central class of them, ``STARS`` times with other hashes: as many pairs as classes.
+   Those links merge classes into components. Then all pairs of step 4 that are still in
+   different components, and only these, are verified. So components are exact, and a
+   large group of near copies takes few pairs more than it has members.
 
 Order of shingles: the number of classes as a power of two, then the hash. Both are in
 one 64-bit token, so tokens sort rarest first.
@@ -40,8 +41,8 @@ from corpuslens.llm.store import Workspace
 THRESHOLD = 75
 #: Shingles in one block range, and the least number of ranges.
 RANGE_SHINGLES, LEAST_RANGES = 3_000_000, 64
-#: Rounds against central classes, and the pairs per prefix shingle above which they go on.
-HUB_ROUNDS, PAIRS_PER_SHINGLE = 4, 4
+#: Hashes under which classes are first held against a central one.
+STARS = 4
 
 _RUNS = "part int, sigs binary, sizes binary, counts binary, tokens binary"
 
@@ -244,11 +245,6 @@ class _Linker:
         self.seen = pairs if self.seen is None else self.seen.unionByName(pairs)
         self.links = links if self.links is None else self.links.unionByName(links)
 
-    def components(self, postings: DataFrame) -> DataFrame:
-        """``postings`` with the component that each class is in so far."""
-        found = components(self.links, self.work, f"components-{self.k}")
-        return postings.drop("comp").join(found.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("root", "sig")).drop("root")
-
 
 def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_shingles, sig)`` of every row; the signature of an empty set is 0."""
@@ -264,33 +260,26 @@ def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold:
     shared = dealt.groupBy("part").applyInArrow(_shared_rows(ranges), _RUNS)
     sets = shared.groupBy("part").applyInArrow(_candidate_rows(threshold), "sig binary, n int, single int, tokens array<long>")
     sets = work.write(sets, "sets")
-    prefix = F.expr(f"slice(tokens, 1, greatest(0, int(n - ceil({threshold} * n / 100) + 1 - single)))")
-    postings = sets.select("sig", "n", "single", F.posexplode(prefix).alias("at", "tok")).select("tok", "sig", "n", (F.col("at") + F.col("single")).alias("pos"), (F.col("single") / F.col("n")).alias("lone"), F.col("sig").alias("comp"))
-    postings = work.write(postings, "postings")
     linker = _Linker(sets, work, threshold)
+    keys = F.expr(f"transform(sequence(1, {STARS}), r -> array_min(transform(tokens, t -> xxhash64(t, r))))")
+    lone = F.struct((F.col("single") / F.col("n")).alias("lone"), "sig", "n")
+    stars = work.write(sets.select("sig", "n", "single", F.posexplode(keys).alias("r", "key")), "stars")
+    hubs = stars.groupBy("r", "key").agg(F.min(lone).alias("hub"), F.count("*").alias("m")).where("m > 1").select("r", "key", "hub.sig", "hub.n")
+    near = stars.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(f"x.r = y.r and x.sig <> y.sig and 100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)"))
     pair = [F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")]
-    for turn in range(HUB_ROUNDS + 1):
-        counts = postings.groupBy("tok", "comp").agg(F.count("*").alias("c"))
-        mixed = counts.groupBy("tok").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"), F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
-        mixed = work.write(mixed.select("tok", "m", "own", F.col("top.comp").alias("main")), f"mixed-{turn}")
-        load = mixed.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("m")).first()
-        if load["m"] is None:
-            break
-        postings = work.write(postings.join(mixed.select("tok", "main"), "tok"), f"mixed-postings-{turn}")
-        x = postings.alias("x")
-        if turn == HUB_ROUNDS or load["pairs"] <= PAIRS_PER_SHINGLE * load["m"]:
-            minor, y = postings.where("comp <> main").alias("x"), postings.alias("y")
-            both = minor.join(y, (F.col("x.tok") == F.col("y.tok")) & F.expr("x.comp <> y.comp and (y.comp = y.main or x.sig < y.sig)") & _could_link("x", "y", threshold))
-            linker.add(both.select(*pair))
-            break
-        rank = F.struct("lone", "sig", "n", "pos", "comp") if turn == 0 else F.struct(F.xxhash64("sig", F.lit(turn)).alias("lone"), "sig", "n", "pos", "comp")
-        hubs = postings.groupBy("tok").agg(F.min(rank).alias("hub")).select("tok", "hub.sig", "hub.n", "hub.pos", "hub.comp")
-        near = x.join(hubs.alias("y"), (F.col("x.tok") == F.col("y.tok")) & F.expr("x.comp <> y.comp") & _could_link("x", "y", threshold))
-        linker.add(near.select(*pair))
-        postings = linker.components(postings.drop("main"))
-        postings = work.write(postings, f"postings-{turn}")
-    none = docs.sparkSession.createDataFrame([], "a binary, b binary")
-    return linker.links if linker.links is not None else none, sets
+    linker.add(near.select(*pair))
+    joined = components(linker.links, work, "components-stars").withColumnRenamed("node", "sig")
+    prefix = F.expr(f"slice(tokens, 1, greatest(0, int(n - ceil({threshold} * n / 100) + 1 - single)))")
+    placed = sets.join(joined, "sig", "left").select("sig", "n", "single", F.coalesce("root", "sig").alias("comp"), F.posexplode(prefix).alias("at", "tok"))
+    postings = work.write(placed.select("tok", "sig", "n", (F.col("at") + F.col("single")).alias("pos"), "comp"), "postings")
+    counts = postings.groupBy("tok", "comp").agg(F.count("*").alias("c"))
+    mixed = counts.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    mixed = work.write(mixed.select("tok", F.col("top.comp").alias("main")), "mixed")
+    rest = work.write(postings.join(mixed, "tok"), "mixed-postings")
+    minor = rest.where("comp <> main").alias("x")
+    both = minor.join(rest.alias("y"), (F.col("x.tok") == F.col("y.tok")) & F.expr("x.comp <> y.comp and (y.comp = y.main or x.sig < y.sig)") & _could_link("x", "y", threshold))
+    linker.add(both.select(*pair))
+    return linker.links, sets
 
 
 def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> DataFrame:
