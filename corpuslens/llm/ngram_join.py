@@ -11,8 +11,11 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
 3. A class knows its size and its shared shingles. Ordered rarest first, its unshared
    shingles come before the shared ones, so a class with as many unshared shingles as its
    prefix is long is done. The rest (texts with near copies) are the table ``sets``.
-4. Prefix shingles are joined, with the length and positional filters in the join's
-   condition. Pairs are made distinct, pass a suffix filter and are verified once.
+4. Prefix shingles are joined, with the length, positional and sketch filters in the join's
+   condition. Pairs are made distinct, pass a suffix filter and are verified once. The
+   sketch has the parity of how many shared shingles fall on each of its bits; two sets
+   differ in at least as many shingles as their sketches differ in bits, so it prunes
+   without loss before a pair is made.
 5. A long list of classes under one prefix shingle is not paired with itself. First, classes
    that agree in the least of their shared shingles under a hash are held against one
    central class of them, ``STARS`` times with other hashes: as many pairs as classes.
@@ -43,6 +46,10 @@ THRESHOLD = 75
 RANGE_SHINGLES, LEAST_RANGES = 3_000_000, 64
 #: Hashes under which classes are first held against a central one.
 STARS = 4
+#: 64-bit words of the parity sketch of a class's shared shingles.
+SKETCH = 16
+_BITS = [f"b{k}" for k in range(SKETCH)]
+_SETS = "sig binary, n int, single int, tokens array<long>, " + ", ".join(f"{b} long" for b in _BITS)
 
 _RUNS = "part int, sigs binary, sizes binary, counts binary, tokens binary"
 
@@ -163,6 +170,7 @@ def _candidate_rows(threshold: int):
         who, tokens, owner = who[by], tokens[by], owner[by]
         at = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1]))) if len(who) else np.zeros(0, int)
         out: dict[str, list] = {"sig": [], "n": [], "single": [], "tokens": []}
+        sketches = []
         for a, b in zip(at.tolist(), [*at[1:].tolist(), len(who)], strict=True):
             n = int(sizes[owner[a]])
             single = n - (b - a)
@@ -171,11 +179,20 @@ def _candidate_rows(threshold: int):
                 out["n"].append(n)
                 out["single"].append(single)
                 out["tokens"].append(tokens[a:b].astype(np.int64))
-        return pa.table([pa.array(out["sig"], pa.binary()), pa.array(out["n"], pa.int32()), pa.array(out["single"], pa.int32()), pa.array(out["tokens"], pa.list_(pa.int64()))], names=list(out))
+                sketches.append(parity_sketch(tokens[a:b]))
+        words = np.array(sketches, np.int64).reshape(-1, SKETCH)
+        columns = [pa.array(out["sig"], pa.binary()), pa.array(out["n"], pa.int32()), pa.array(out["single"], pa.int32()), pa.array(out["tokens"], pa.list_(pa.int64()))]
+        return pa.table([*columns, *(pa.array(words[:, k]) for k in range(SKETCH))], names=[*out, *_BITS])
 
     return rows
 
 
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    """``SKETCH`` words in which a bit is set if an odd number of tokens fall on it."""
+    odd = np.bincount((tokens % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def apart(x: np.ndarray, y: np.ndarray, most: int, depth: int = 3) -> int:
     """A lower bound of how many tokens are in one of two sorted arrays only.
 
@@ -218,11 +235,13 @@ def _verified_rows(threshold: int):
 
 
 def _could_link(a: str, b: str, threshold: int) -> Column:
-    """Length and positional filters for postings ``a`` and ``b`` of one token."""
+    """Length, positional and sketch filters for postings ``a`` and ``b`` of one token."""
     need = f"ceil({threshold} * ({a}.n + {b}.n) / {100 + threshold})"
+    differ = " + ".join(f"bit_count({a}.{w} ^ {b}.{w})" for w in _BITS)
     return F.expr(
         f"100 * least({a}.n, {b}.n) >= {threshold} * greatest({a}.n, {b}.n) and "
-        f"least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1) >= {need}"
+        f"least({a}.pos, {b}.pos) + 1 + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1) >= {need} and "
+        f"{a}.single + {b}.single + {differ} <= {a}.n + {b}.n - 2 * {need}"
     )
 
 
@@ -258,7 +277,7 @@ def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold:
     ranges = max(LEAST_RANGES, -(-total // range_shingles))
     dealt = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_dealt_rows(width, ranges), _RUNS)
     shared = dealt.groupBy("part").applyInArrow(_shared_rows(ranges), _RUNS)
-    sets = shared.groupBy("part").applyInArrow(_candidate_rows(threshold), "sig binary, n int, single int, tokens array<long>")
+    sets = shared.groupBy("part").applyInArrow(_candidate_rows(threshold), _SETS)
     sets = work.write(sets, "sets")
     linker = _Linker(sets, work, threshold)
     keys = F.expr(f"transform(sequence(1, {STARS}), r -> array_min(transform(tokens, t -> xxhash64(t, r))))")
@@ -271,11 +290,11 @@ def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold:
     joined = components(linker.links, work, "components-stars").withColumnRenamed("node", "sig")
     prefix = F.expr(f"slice(tokens, 1, greatest(0, int(n - ceil({threshold} * n / 100) + 1 - single)))")
     placed = sets.join(joined, "sig", "left").select("sig", "n", "single", F.coalesce("root", "sig").alias("comp"), F.posexplode(prefix).alias("at", "tok"))
-    postings = work.write(placed.select("tok", "sig", "n", (F.col("at") + F.col("single")).alias("pos"), "comp"), "postings")
+    postings = work.write(placed.select("tok", "sig", "n", "single", (F.col("at") + F.col("single")).alias("pos"), "comp"), "postings")
     counts = postings.groupBy("tok", "comp").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("tok").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
     mixed = work.write(mixed.select("tok", F.col("top.comp").alias("main")), "mixed")
-    rest = work.write(postings.join(mixed, "tok"), "mixed-postings")
+    rest = work.write(postings.join(mixed, "tok").join(sets.select("sig", *_BITS), "sig"), "mixed-postings")
     minor = rest.where("comp <> main").alias("x")
     both = minor.join(rest.alias("y"), (F.col("x.tok") == F.col("y.tok")) & F.expr("x.comp <> y.comp and (y.comp = y.main or x.sig < y.sig)") & _could_link("x", "y", threshold))
     linker.add(both.select(*pair))
