@@ -34,8 +34,9 @@ WINDOW, END_ID = 4096, 2
 #: In tokens of padding: what a cut at a sentence end or inside a sentence costs.
 SENTENCE_PENALTY, HARD_PENALTY = 4, 32
 #: Ids in a run, the least distance of sentence cuts, and the grid inside long sentences.
-RUN_IDS, SENTENCE_GAP, GRID = 1 << 19, 24, 256
-_SHORT = [1 << k for k in range(6, 12)]
+RUN_IDS, SENTENCE_GAP, GRID = 1 << 19, 64, 256
+#: Lengths that need no padding and are tried inside a run; a task's end may use any.
+_SHORT = [1 << k for k in range(10, 12)]
 
 
 def cut_places(ends: np.ndarray, stops: np.ndarray, total: int, window: int = WINDOW) -> tuple[list[int], list[int]]:

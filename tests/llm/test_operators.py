@@ -354,8 +354,8 @@ def test_op10_is_whole_and_tight(spark, odd):
 def test_op10_cuts_are_the_cheapest():
     rng = random.Random(4)
     for _ in range(40):
-        places = [0, *sorted(rng.sample(range(1, 400), 40))]
-        window = max(100, max(b - a for a, b in zip(places, places[1:], strict=False)))
+        places = [0, *sorted(rng.sample(range(64, 25_600, 64), 40))]
+        window = max(4096, max(b - a for a, b in zip(places, places[1:], strict=False)))
         penalties = [0] + [rng.choice((0, 4, 32)) for _ in places[1:]]
         cost = [0.0] + [float("inf")] * 40
         for j in range(1, 41):
