@@ -9,7 +9,8 @@ by their Mahalanobis distance.
 A step is one aggregation over a narrow table: rows are put in bins by the logarithm of
 their distance, each bin's counts, sums and cross products are added up (with map-side
 partials), and the bins up to the three quarters are summed. So no task gathers a group,
-a group with a third of all rows included; what is joined back is one row a group.
+a group with a third of all rows included; what is joined back is one row a group,
+by broadcast up to a counted size and by group and salt beyond it.
 Groups of fewer than ``LEAST_ROWS`` rows use the estimates of all rows.
 """
 
@@ -29,6 +30,8 @@ STEPS, KEPT_SHARE, LEAST_ROWS = 5, 0.75, 60
 #: The chance that a row of a normal distribution is rejected.
 TAIL = 1e-7
 BINS_A_LOG = 16
+#: A table of one row a group is broadcast up to so many rows; beyond, rows meet it by group and salt.
+BROADCAST_ROWS, SALTS = 50_000, 64
 
 
 def chi2_quantile(p: float, d: int = len(STATS)) -> float:
@@ -137,6 +140,19 @@ def _nearest(binned: DataFrame, share: float) -> tuple[DataFrame, Column]:
     return binned.withColumn("before", before).withColumn("every", every), F.col("before") < F.ceil(F.col("every") * share)
 
 
+def _meet(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups``, a written table of one row a ``key``.
+
+    No task gets all rows of a key: a counted, small table is broadcast, and a larger one
+    is repeated for each salt that the rows are dealt over.
+    """
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), key, how)
+    salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    return dealt.join(salted, [key, "__salt"], how).drop("__salt")
+
+
 def estimates(rows: DataFrame, work: Workspace) -> DataFrame:
     """One row per ``grp``: means, root of the scatter, and ``scale``, from ``grp`` and statistics.
 
@@ -155,11 +171,11 @@ def estimates(rows: DataFrame, work: Workspace) -> DataFrame:
     sums = [F.sum(s).alias(f"sum_{s}") for s in STATS] + [F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"sum_{STATS[i]}{STATS[j]}") for i, j in _PAIRS]
     names = [f"sum_{s}" for s in STATS] + [f"sum_{STATS[i]}{STATS[j]}" for i, j in _PAIRS]
     for k in range(1, STEPS + 1):
-        measured = _with_distance(rows.join(now, "grp")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS_A_LOG))
+        measured = _with_distance(_meet(rows, now, "grp")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS_A_LOG))
         binned, near = _nearest(measured.groupBy("grp", "bin").agg(F.count("*").alias("n"), *sums), KEPT_SHARE)
         moments = binned.where(near).groupBy("grp").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names])
         now = work.write(_with_root(moments, ["grp"]).withColumn("scale", F.lit(1.0)), f"estimates-{k}")
-    measured = _with_distance(rows.join(now, "grp")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS_A_LOG))
+    measured = _with_distance(_meet(rows, now, "grp")).withColumn("bin", F.floor(F.log(F.col("d2") + 1e-9) * BINS_A_LOG))
     binned, near = _nearest(measured.groupBy("grp", "bin").agg(F.count("*").alias("n"), F.max("d2").alias("d2")), 0.5)
     scale = binned.where(near).groupBy("grp").agg(F.greatest(F.lit(1.0), F.max("d2") / middle).alias("scale"))
     return work.write(now.drop("scale").join(scale, "grp"), "estimates")
@@ -182,10 +198,10 @@ def judge(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     rows = work.write(rows.select("*", *[c.alias(s) for c, s in zip(statistics(), STATS, strict=True)]), "counts")
     good = rows.where("not base_failed")
     sizes = work.write(good.groupBy("own").agg((F.count("*") >= LEAST_ROWS).alias("large")), "sizes")
-    grouped = good.join(sizes, "own").withColumn("grp", F.when(F.col("large"), F.col("own")).otherwise(F.lit("\u0003")))
+    grouped = _meet(good, sizes, "own").withColumn("grp", F.when(F.col("large"), F.col("own")).otherwise(F.lit("\u0003")))
     found = estimates(work.write(grouped.select("grp", *STATS).unionByName(_pooled(good, sizes)), "grouped"), work)
-    place = rows.join(sizes, "own", "left").withColumn("grp", F.when(F.col("large"), F.col("own")).otherwise(F.lit("\u0003")))
-    verdict = _with_distance(place.join(found, "grp", "left"))
+    place = _meet(rows, sizes, "own", "left").withColumn("grp", F.when(F.col("large"), F.col("own")).otherwise(F.lit("\u0003")))
+    verdict = _with_distance(_meet(place, found, "grp", "left"))
     kept = ~F.col("base_failed") & (F.col("d2") <= chi2_quantile(1 - tail))
     return verdict.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce(kept, F.lit(False)).alias("kept"), F.col("d2").alias("distance2"))
 

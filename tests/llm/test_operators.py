@@ -270,6 +270,13 @@ def test_op7_counts_and_verdicts(spark, texts, odd):
     assert quality_mcd.judge(odd.limit(0)).count() == 0
 
 
+def test_quality_salted(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {(r.doc_id, r.kept, round(r.distance2 or 0, 6)) for r in quality_mcd.judge(docs).collect()}
+    monkeypatch.setattr(quality_mcd, "BROADCAST_ROWS", 0)
+    assert {(r.doc_id, r.kept, round(r.distance2 or 0, 6)) for r in quality_mcd.judge(docs).collect()} == want
+
+
 def test_op7_estimates_resist_outliers(spark):
     rng = np.random.default_rng(7)
     good = rng.normal([5, 2, 0.5, 0.2, 0.1], [0.8, 0.3, 0.9, 0.8, 0.1], (3000, 5))
