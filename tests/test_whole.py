@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import collections
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from corpuslens.plans import labels
 from corpuslens.plans.queries import QUERIES
 
 
@@ -28,3 +35,28 @@ def test_reply_components_of_all_events(spark, tmp_path):
             nodes |= {(p, k), (p, k - k % 7)}
     got = {(r.p, r.a): r.root for r in QUERIES["reply_components"](spark, write(spark, tmp_path, events=(events, "event_id long, event_type string"))).collect()}
     assert got == {x: find(x)[1] for x in nodes} and max(k for _, k in got) > 10**6
+
+
+def test_paired_bootstrap_equals_direct_weights(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    rows = [(k, int(rng.random() < 0.6), "x" * int(rng.choice([900, 1100]))) for k in range(60)]
+    folder = write(spark, tmp_path, labels=([(k, q, 0) for k, q, _ in rows], "doc_id long, quality int, toxic int"), documents=([(k, "en", t) for k, _, t in rows], "doc_id long, lang string, text string"))
+    hashes = spark.range(60).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("r")).select("k", "r", F.xxhash64("k", "r").alias("h")).collect()
+    top, total = collections.defaultdict(int), collections.defaultdict(int)
+    for x in hashes:
+        u, w, chance, below = (x.h % 2**64 >> 11) / 2**53, 0, math.exp(-1), math.exp(-1)
+        while u >= below and w < 40:
+            w += 1
+            chance /= w
+            below += chance
+        gold, pred = rows[x.k][1] == 1, len(rows[x.k][2]) > 1000
+        top[x.r] += w * ((gold == pred) - gold)
+        total[x.r] += w
+    assert len(total) == 2000
+    want = np.quantile([top[r] / total[r] for r in total], [0.025, 0.975])
+    assert np.allclose(QUERIES["paired_bootstrap"](spark, folder).first(), want)
+
+
+def test_poisson_weights_go_on(spark):
+    row = spark.range(1).select(*[labels.poisson_weight(F.lit(u)).alias(f"w{k}") for k, u in enumerate((0.0, 0.3678, 0.3679, 0.9995, 0.99999, 1 - 2**-53))]).first()
+    assert list(row)[:5] == [0, 0, 1, 6, 8] and 14 < row.w5 < 20
