@@ -72,21 +72,30 @@ def span_overlap(t):
     return p.join(g, F.expr("p.k = g.k and p.cat = g.cat and p.s <> g.s and p.s < g.e and g.s < p.e"), "left_semi")
 
 
+#: Hashes of all runs of 13 characters inside words.
+_RUNS = "flatten(transform(filter({words}, x -> length(x) >= 13), x -> transform(array(split(x, '')), c -> transform(sequence(0, size(c) - 13), i -> xxhash64(" + ", ".join(f"c[i + {k}]" for k in range(13)) + ")))[0]))"
+
+
 @query(r"""WITH d AS (SELECT doc_id, lower(trim(regexp_replace(text, '[\s\x{85}\x{a0}\x{2028}]+', ' ', 'g'))) AS n FROM documents), b AS (SELECT item_id, trim(substr(lower(trim(regexp_replace(text, '[\s\x{85}\x{a0}\x{2028}]+', ' ', 'g'))), 1, 200)) AS x FROM benchmark)
 SELECT item_id, doc_id FROM b, d WHERE length(x) >= 40 AND contains(n, x)""")
 def evidence_containment(t):
-    """Items whose first 200 characters a document has, blocked by the excerpt's second and third words.
+    """Items whose first 200 characters a document has, blocked by words or by characters.
 
-    A text that contains an excerpt contains these two words in a row, so the pairs to test
-    come from an equi-join on a hash of word pairs, not from all pairs.
+    A text that contains an excerpt of four words or more contains its second and third words
+    in a row. A shorter one has a word of 13 characters or more, as it has 40 in all, and the
+    text a word that contains this word's first 13. So the pairs to test come from an
+    equi-join on hashes of word pairs and of runs of 13 characters inside words, not from
+    all pairs.
     """
     normal = F.lower(X.squeeze(F.col("text")))
     words = F.split(F.col("n"), " ")
     items = t.benchmark.select("item_id", F.trim(F.substring(normal, 1, 200)).alias("x")).where("length(x) >= 40").withColumn("n", F.col("x"))
-    items = items.select("item_id", "x", F.xxhash64(F.get(words, F.lit(1)), F.get(words, F.lit(2))).alias("pair"))
+    longest = F.expr(f"get({_RUNS.format(words='filter(w, x -> length(x) = array_max(transform(w, y -> length(y))))')}, 0)")
+    pair = F.when(F.size("w") >= 4, F.xxhash64(F.get("w", F.lit(1)), F.get("w", F.lit(2)))).otherwise(longest)
+    items = items.select("item_id", "x", words.alias("w")).select("item_id", "x", pair.alias("pair"))
     keys = items.select("pair").distinct()
     docs = t.documents.select("doc_id", normal.alias("n"))
-    pairs = F.expr("array_distinct(transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(w[i - 1], get(w, i))))")
+    pairs = F.expr(f"array_distinct(concat(transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(w[i - 1], get(w, i))), {_RUNS.format(words='w')}))")
     placed = docs.select("doc_id", words.alias("w")).select("doc_id", F.explode(pairs).alias("pair")).join(keys, "pair", "left_semi")
     near = placed.join(items, "pair").select("doc_id", "item_id", "x")
     return near.join(docs, "doc_id").where(F.col("n").contains(F.col("x"))).select("item_id", "doc_id")

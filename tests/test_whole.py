@@ -60,3 +60,15 @@ def test_paired_bootstrap_equals_direct_weights(spark, tmp_path):
 def test_poisson_weights_go_on(spark):
     row = spark.range(1).select(*[labels.poisson_weight(F.lit(u)).alias(f"w{k}") for k, u in enumerate((0.0, 0.3678, 0.3679, 0.9995, 0.99999, 1 - 2**-53))]).first()
     assert list(row)[:5] == [0, 0, 1, 6, 8] and 14 < row.w5 < 20
+
+
+def test_evidence_of_few_words(spark, tmp_path):
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(260))
+    url = "https://example.org/" + "a/bc" * 60
+    texts = ["一" + han + "完", han[:199], "see " + url + " now", url[1:], "x" * 15 + " " + "y" * 15 + " " + "z" * 40, "ab" + "x" * 15 + "  " + "Y" * 15 + " " + "z" * 9 + "tail of it", "🙂" * 50 + " 🙂", "", None, "many words that have at least forty letters in a row"]
+    items = [han, url, "x" * 15 + " " + "y" * 15 + " " + "z" * 9, "X" * 14 + " " + "y" * 15 + " " + "z" * 9, "🙂" * 41, "x" * 40, "words that have at least forty letters in a row", "short"]
+    fold = lambda s: " ".join((s or "").lower().split())
+    want = {(i, d) for i, x in enumerate(items) for d, t in enumerate(texts) if len(fold(x)[:200].strip()) >= 40 and fold(x)[:200].strip() in fold(t)}
+    folder = write(spark, tmp_path, benchmark=(list(enumerate(items)), "item_id long, text string"), documents=(list(enumerate(texts)), "doc_id long, text string"))
+    got = [(r.item_id, r.doc_id) for r in QUERIES["evidence_containment"](spark, folder).collect()]
+    assert sorted(got) == sorted(want) and {i for i, _ in want} == {0, 1, 2, 3, 4, 6}
