@@ -33,10 +33,10 @@ from corpuslens.llm.tokenizing import WORD_BPE, encoder
 WINDOW, END_ID = 4096, 2
 #: In tokens of padding: what a cut at a sentence end or inside a sentence costs.
 SENTENCE_PENALTY, HARD_PENALTY = 4, 32
-#: Ids in a run, the least distance of sentence cuts, and the grid inside long sentences.
-RUN_IDS, SENTENCE_GAP, GRID = 1 << 19, 64, 256
-#: Lengths that need no padding and are tried inside a run; a task's end may use any.
-_SHORT = [1 << k for k in range(10, 12)]
+#: Ids in a run, and the grid inside long sentences.
+RUN_IDS, GRID = 1 << 19, 256
+#: Lengths that need no padding; those below the window are tried.
+_SHORT = [1 << k for k in range(31)]
 
 
 def cut_places(ends: np.ndarray, stops: np.ndarray, total: int, window: int = WINDOW) -> tuple[list[int], list[int]]:
@@ -45,9 +45,6 @@ def cut_places(ends: np.ndarray, stops: np.ndarray, total: int, window: int = WI
     ``ends`` are the document ends and ``stops`` the sentence ends, both ascending.
     """
     grid = min(GRID, window)
-    if len(stops):
-        bucket = stops // SENTENCE_GAP  # at most one in each stretch
-        stops = stops[np.concatenate(([True], bucket[1:] != bucket[:-1]))]
     places = np.union1d(ends, stops)
     places = places[(places > 0) & (places <= total)]
     soft = np.where(np.isin(places, ends), 0, SENTENCE_PENALTY)
@@ -59,23 +56,39 @@ def cut_places(ends: np.ndarray, stops: np.ndarray, total: int, window: int = WI
     return [0, *places[order].tolist()], [0, *soft[order].tolist()]
 
 
+def _short_pairs(places: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """Indices ``j``, rising, and ``i`` of places that lie a length of ``_SHORT`` apart; a -1 ends ``j``."""
+    js, starts = [], []
+    for s in _SHORT:
+        if s < window:
+            i = np.searchsorted(places, places - s)
+            j = np.flatnonzero(places[i] == places - s)
+            js.append(j)
+            starts.append(i[j])
+    if not js:
+        return [-1], []
+    j, i = np.concatenate(js), np.concatenate(starts)
+    order = np.argsort(j, kind="stable")
+    return [*j[order].tolist(), -1], i[order].tolist()
+
+
 def best_cuts(places: list[int], penalties: list[int], window: int = WINDOW) -> list[int]:
     """The cheapest cuts from the first to the last place; neighbours are within ``window``."""
     n = len(places)
     cost, back = [0] * n, [0] * n
-    at = {p: k for k, p in enumerate(places)}
     queue: deque[tuple[int, int]] = deque([(places[0], 0)])  # (cost + place, index), rising
-    short = [s for s in _SHORT if s < window]
+    js, starts, k = *_short_pairs(np.asarray(places), window), 0
     for j in range(1, n):
         p = places[j]
         while places[queue[0][1]] < p - window:
             queue.popleft()
         value, from_ = queue[0]
         least = value + window - p
-        for s in short:
-            i = at.get(p - s)
-            if i is not None and cost[i] < least:
+        while js[k] == j:
+            i = starts[k]
+            if cost[i] < least:
                 least, from_ = cost[i], i
+            k += 1
         cost[j], back[j] = least + penalties[j], from_
         value = cost[j] + p
         while queue and queue[-1][0] >= value:

@@ -375,6 +375,27 @@ def test_op10_cuts_are_the_cheapest():
         assert price == cost[-1]
 
 
+def test_op10_offers_every_sentence_end_and_power_of_two():
+    rng = random.Random(9)
+    for window in (100, 4096):
+        for _ in range(20):
+            total = 16 * window
+            stops = np.array(sorted(rng.sample(range(1, total), total // 12)))
+            ends = np.array([*sorted(rng.sample(range(1, total), 6)), total])
+            places, penalties = packing.cut_places(ends, stops, total, window)
+            assert {0, *stops.tolist(), *ends.tolist()} <= set(places)
+            places = [0, *sorted(rng.sample(range(1, 4 * window), 60))]
+            places += [p for p in range(window, places[-1], window // 2) if p not in places]
+            places.sort()
+            penalties = [0] + [rng.choice((0, 4, 32)) for _ in places[1:]]
+            price = lambda n: 0 if n & (n - 1) == 0 else window - n
+            cost = [0.0] + [float("inf")] * (len(places) - 1)
+            for j in range(1, len(places)):
+                cost[j] = penalties[j] + min(cost[i] + price(places[j] - places[i]) for i in range(j) if places[j] - places[i] <= window)
+            cuts = packing.best_cuts(places, penalties, window)
+            assert sum(penalties[places.index(b)] + price(b - a) for a, b in zip(cuts, cuts[1:], strict=False)) == cost[-1]
+
+
 def test_stay_keeps_one_row_of_a_repeated_key(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
     keep = spark.createDataFrame([(1, 2), (None, 1)], "k long, repeats long")
