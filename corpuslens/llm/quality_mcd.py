@@ -25,10 +25,10 @@ from corpuslens.llm.store import Workspace
 
 STATS = ("s0", "s1", "s2", "s3", "s4")
 #: Standard deviations are not taken to be less than these, in the units of the statistics.
-FLOORS = (0.25, 0.10, 0.60, 0.50, 0.05)
+FLOORS = (0.10, 0.04, 0.30, 0.25, 0.03)
 STEPS, KEPT_SHARE, LEAST_ROWS = 5, 0.75, 60
 #: The chance that a row of a normal distribution is rejected.
-TAIL = 1e-7
+TAIL = 1e-3
 BINS_A_LOG = 16
 #: A table of one row a group is broadcast up to so many rows; beyond, rows meet it by group and salt.
 BROADCAST_ROWS, SALTS = 50_000, 64

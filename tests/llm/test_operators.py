@@ -277,6 +277,16 @@ def test_quality_salted(spark, monkeypatch):
     assert {(r.doc_id, r.kept, round(r.distance2 or 0, 6)) for r in quality_mcd.judge(docs).collect()} == want
 
 
+def test_op7_rejects_junk_and_keeps_labelled_good_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    got = registry.QUERIES["op7_quality_rules"](spark, folder).collect()
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    passed = [r for r in got if not r.base_failed]
+    marked = [r.kept for r in passed if 100 * r.n_symbols > 5 * r.word_chars]
+    assert len(marked) > 50 and not any(marked)
+    assert np.mean([r.kept for r in passed if label.get(r.doc_id) == 1]) > 0.95
+
+
 def test_op7_estimates_resist_outliers(spark):
     rng = np.random.default_rng(7)
     good = rng.normal([5, 2, 0.5, 0.2, 0.1], [0.8, 0.3, 0.9, 0.8, 0.1], (3000, 5))
