@@ -31,6 +31,10 @@ _ORDER = {1: 0x1FFFFF << 42, 2: 0x1FFFFE << 42, 3: 0}
 FOLDS = 5
 #: A model of more labels than this isn't one of languages; fitting it raises an error.
 MOST_LABELS = 10_000
+#: A text with a lower score is in none of the learnt languages.
+LEAST_SCORE = 0.3
+#: Bytes of text that are counted at once; counting takes some forty times as much memory.
+SLICE_BYTES = 1 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -82,7 +86,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [(grams, np.bincount(at, np.concatenate([c for _, c in parts]), len(grams)).astype(np.int64))]
 
     for batch in batches:
-        for part in slices(batch, 0):
+        for part in slices(batch, 0, SLICE_BYTES):
             texts, langs = part.column(0).to_pylist(), part.column(1).to_pylist()
             by: dict[str, list[str]] = {}
             for text, lang in zip(texts, langs, strict=True):
@@ -100,22 +104,32 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Profiles:
-    """Ranks of n-grams by language, as one sorted array and a matrix."""
+    """Ranks of n-grams by language: for each n-gram, the languages that have it and its ranks.
+
+    16 bytes an entry, so ``MOST_LABELS`` profiles of 300 n-grams take 48 MB at most.
+    """
 
     def __init__(self, ranked: dict[str, list[int]], size: int):
         self.size, self.langs = size, sorted(ranked)
-        self.grams = np.unique(np.concatenate([np.array(ranked[k], np.int64) for k in self.langs])) if ranked else np.zeros(0, np.int64)
-        self.ranks = np.full((len(self.langs), len(self.grams)), -1, np.int64)
-        for k, lang in enumerate(self.langs):
-            self.ranks[k, np.searchsorted(self.grams, ranked[lang])] = np.arange(len(ranked[lang]))
+        every = np.concatenate([np.array(ranked[k], np.int64) for k in self.langs]) if ranked else np.zeros(0, np.int64)
+        sizes = [len(ranked[k]) for k in self.langs]
+        order = np.argsort(every, kind="stable")
+        self.lang = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        self.rank = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes] or [np.zeros(0, np.int32)])[order]
+        self.grams, starts = np.unique(every[order], return_index=True)
+        self.bounds = np.append(starts, len(every))
 
     def nearest(self, ordered: np.ndarray) -> tuple[str, float]:
         """The nearest language to a text's n-grams, most frequent first, and a score."""
         if not len(ordered) or not self.langs:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.grams, ordered), len(self.grams) - 1)
-        ranks = np.where(self.grams[at] == ordered, self.ranks[:, at], -1)
-        away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(ordered)))).sum(axis=1)
+        own = np.flatnonzero(self.grams[at] == ordered)
+        starts, counts = self.bounds[at[own]], self.bounds[at[own] + 1] - self.bounds[at[own]]
+        ends = np.cumsum(counts)
+        found = np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+        nearer = self.size - np.abs(self.rank[found] - np.repeat(own, counts))
+        away = self.size * len(ordered) - np.bincount(self.lang[found], nearer, len(self.langs)).astype(np.int64)
         best = int(np.argmin(away))
         return self.langs[best], 1.0 - float(away[best]) / (self.size * len(ordered))
 
@@ -137,7 +151,7 @@ def fit(labelled: DataFrame, size: int = PROFILE_SIZE) -> Profiles:
 def _predicted_rows(profiles: Profiles):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SLICE_BYTES):
                 texts = [t or "" for t in part.column(2).to_pylist()]
                 orders, langs, scores = _grams(texts), [], []
                 for k in range(len(texts)):
@@ -166,12 +180,19 @@ def identify(docs: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(_predicted_rows(profiles), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, size: int = PROFILE_SIZE, least: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose text has no language: ``und``, or a score under ``least``.
+def keep_identified(docs: DataFrame, size: int = PROFILE_SIZE, least: float = LEAST_SCORE, langs: list[str] | None = None) -> DataFrame:
+    """``docs`` without the rows whose text is in none of the learnt languages.
+
+    A row goes if its text is ``und``, if its nearest profile is not of ``langs`` (None:
+    any learnt one) or if the score is under ``least``: a text in another alphabet has
+    score 0, random letters about 0.2. Texts of a learnt language have 0.36 or more on the
+    labelled data, one-word texts and junk of repeated words included, so they stay.
 
-    Without labelled rows there are no profiles, and only texts without a letter go.
-    The verdict is on the text alone, so it is made where the text is: a column is added in
-    Python and filtered on, and no rows are joined back.
+    Null and empty texts go, of any length; repeated rows and rows with a null doc_id are
+    judged by their text like all others. Without labelled rows there are no profiles, and
+    only texts without a letter go. An empty table stays empty. All columns are kept as
+    they are, whatever their names. The verdict is on the text alone, so it is made where
+    the text is and no rows are joined back.
     """
     profiles = fit(docs.select(F.col("text"), F.col("lang"), held_out(F.col("doc_id")).alias("held_out")).where("not held_out"), size)
 
@@ -179,14 +200,14 @@ def keep_identified(docs: DataFrame, size: int = PROFILE_SIZE, least: float = 0.
         text = docs_columns.index("text")
         predict = _predicted_rows(profiles)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE_BYTES):
                 none = pa.nulls(part.num_rows, pa.int64())
                 judged = predict(iter([pa.RecordBatch.from_arrays([none, none, part.column(text)], ["doc_id", "held_out", "text"])]))
                 if not profiles.langs:
                     marks = [any(map(str.isalpha, t or "")) for t in part.column(text).to_pylist()]
                     yield part.filter(pa.array(marks, pa.bool_()))
                     continue
-                marks = [lang != UNKNOWN and score >= least for j in judged for lang, score in zip(j.column(2).to_pylist(), j.column(3).to_pylist(), strict=True)]
+                marks = [lang != UNKNOWN and score >= least and (langs is None or lang in langs) for j in judged for lang, score in zip(j.column(2).to_pylist(), j.column(3).to_pylist(), strict=True)]
                 yield part.filter(pa.array(marks, pa.bool_()))
 
     docs_columns = [c.lower() for c in docs.columns]

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.llm.shingles import slices
 from corpuslens.llm.tokenizing import WORD_BPE, encoder
 
 WINDOW, END_ID = 4096, 2
@@ -35,6 +36,8 @@ WINDOW, END_ID = 4096, 2
 SENTENCE_PENALTY, HARD_PENALTY = 4, 32
 #: Ids in a run, and the grid inside long sentences.
 RUN_IDS, GRID = 1 << 19, 256
+#: Bytes of text that a task encodes at once.
+SLICE_BYTES = 1 << 20
 #: Lengths that need no padding; those below the window are tried.
 _SHORT = [1 << k for k in range(31)]
 
@@ -171,10 +174,10 @@ def _packed_rows(vocabulary: str, window: int, run_ids: int):
                 stops[ids[0]] = True
         packer, base = _Packer(stops, window), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                ids, texts = batch.column(0).slice(k, 500).to_pylist(), batch.column(1).slice(k, 500).to_pylist()
-                for doc_id, raw in zip(ids, tokens.encode([t or "" for t in texts]), strict=True):
-                    packer.add(doc_id, np.append(np.frombuffer(raw, "<u4"), np.uint32(END_ID)))
+            for piece in slices(batch, 1, SLICE_BYTES):
+                texts = tokens.encode(piece.column(1).to_pylist())
+                for doc_id, ids in zip(piece.column(0).to_pylist(), texts, strict=True):
+                    packer.add(doc_id, np.append(ids, np.uint32(END_ID)))
                     if packer.size >= run_ids:
                         packer.flush(False)
                         yield made(packer, base)
@@ -190,7 +193,8 @@ def pack(docs: DataFrame, vocabulary: str = WORD_BPE, window: int = WINDOW, run_
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null or
     empty text is a document of its end id alone. Rows with a null doc_id come first; rows
     that share a doc_id are documents of their own. A document longer than a window is cut;
-    a task holds the ids of one run and of one document. An empty table gives no rows.
+    a task holds the ids of one run, of one slice of texts (``SLICE_BYTES``, or one text
+    that is longer) and what an Arrow batch has. An empty table gives no rows.
     Other columns are not read.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))

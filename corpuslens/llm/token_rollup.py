@@ -22,14 +22,16 @@ from corpuslens.llm.tokenizing import BYTE_BPE, encoder
 
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("n_docs", "n_tokens", "n_chars")
+#: Bytes of text that a task encodes at once.
+SLICE_BYTES = 1 << 20
 
 
 def _count_rows(vocabulary: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(vocabulary)
         for batch in batches:
-            for part in slices(batch, 1):
-                sizes = [len(raw) // 4 for raw in tokens.encode([t or "" for t in part.column(1).to_pylist()])]
+            for part in slices(batch, 1, SLICE_BYTES):
+                sizes = [len(ids) for ids in tokens.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), part.column(4), part.column(5), pa.array(sizes, pa.int64())], ["doc_id", "source", "lang", "n_chars", "n_words", "n_pieces"])
 
     return rows
@@ -70,7 +72,7 @@ class TokenRollup:
         if self._exists(f"{folder}/_SUCCESS"):
             return False
         sums = changes.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
-        sums.where(" or ".join(f"{c} <> 0" for c in SUMS)).coalesce(1).write.mode("overwrite").parquet(folder)
+        sums.where(" or ".join(f"{c} <> 0" for c in SUMS)).write.mode("overwrite").parquet(folder)
         return True
 
     def totals(self) -> DataFrame:

@@ -13,10 +13,11 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
-from corpuslens.llm import exact_dedup, graph, langid, license_scan, mixing, ngram_join, packing, quality_mcd, registry, rows, secret_scan, shingles, sstable, token_rollup
+from corpuslens.llm import exact_dedup, graph, langid, license_scan, mixing, ngram_join, packing, quality_mcd, registry, rows, secret_scan, shingles, sstable, token_rollup, tokenizing
 from corpuslens.llm.store import Workspace
-from corpuslens.llm.tokenizing import BYTE_BPE, WORD_BPE, ChunkEncoder
+from corpuslens.llm.tokenizing import BYTE_BPE, WORD_BPE, TextEncoder, vocabulary_path
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -232,7 +233,7 @@ def test_op5_odd_rows(odd):
 
 
 def test_op6_totals_equal_brute_force_and_replays_change_nothing(spark, docs, odd, tmp_path):
-    whole = ChunkEncoder(BYTE_BPE).library
+    whole = untouched(BYTE_BPE)
     want = collections.Counter()
     for r in docs.collect():
         for version, n in (("words", len(WORD.findall(r.text))), ("pieces", len(whole.encode(r.text, add_special_tokens=False).ids))):
@@ -310,17 +311,41 @@ def test_op8_odd_rows_and_small_blocks(odd, spark):
         exact_dedup.name_documents(odd, Workspace(spark, "t"), 16, "substring(b, 1, 1)")
 
 
+def untouched(name):
+    """The library's own tokenizer, as the contracts give it."""
+    return Tokenizer.from_file(vocabulary_path(name))
+
+
+def library_ids(name, values):
+    return [list(x.ids) for x in untouched(name).encode_batch(list(values), add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("slots", [64, tokenizing.SLOTS])
 @pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
-def test_chunks_encode_as_whole_texts_do(name, texts):
-    e = ChunkEncoder(name)
-    odd_ = ["", "  a  b\n\n c", " x", "x ", "\n", "a\n b \nc\t\td", "it's we'll 12 ３", " \n ", "ſİŉ µ²", "a\x1cb\x85c\xa0d", "<|endoftext|> <|startoftext|>", "\r\nA\r\n", "a\x00b", "x" * 300 + " y", "***'s 's"]
-    values = [*texts.values(), *odd_]
-    want = [np.array(x.ids, "<u4").tobytes() for x in e.library.encode_batch(values, add_special_tokens=False)]
-    assert e.encode(values) == want and e.encode(values[::-1]) == want[::-1]
+def test_splits_encode_as_the_library_does(name, slots, texts, monkeypatch):
+    e = TextEncoder(name, slots)
+    assert e.known
+    odd_ = ["", "  a  b\n\n c", " x", "x ", "\n", "a\n b \nc\t\td", "it's we'll 12 ３", " \n ", "ſİŉ µ²", "a\x1cb\x85c\xa0d", "<|endoftext|> <|startoftext|>x<|ENDOFTEXT|>", "\r\nA\r\n", "a\x00b", "x" * 300 + " y", "***'s 's"]
+    parts = ["a", "é", "Z", "ß", " ", "  ", "\n", "\t", "'s", "'", "1", "23", "²", "·", "_", "<|endoftext|>", "→", "'LL", " 's", "\r", "\xa0", "中", "'re", "'v", "x" * 9, "y" * 30, "'ve", "`"]
+    rng = random.Random(8)
+    values = [*texts.values(), *odd_, *("".join(rng.choices(parts, k=rng.randrange(10))) for _ in range(3000))]
+    want = library_ids(name, values)
+    assert [x.tolist() for x in e.encode(values)] == want and [x.tolist() for x in e.encode(values[::-1])] == want[::-1]
+    monkeypatch.setattr(tokenizing, "PIECE_CHARS", 50)
+    monkeypatch.setattr(tokenizing, "BATCH_CHARS", 400)
+    assert [x.tolist() for x in e.encode(values[:150])] == want[:150]
+
+
+def test_unknown_vocabularies_go_to_the_library_whole(tmp_path):
+    other = untouched(BYTE_BPE)
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    other.save(str(tmp_path / "other.json"))
+    e = TextEncoder(str(tmp_path / "other.json"))
+    assert not e.known and e.encode(["a b's", ""])[0].tolist() == other.encode("a b's", add_special_tokens=False).ids
 
 
 def test_op9_reads_back_what_the_library_encodes(spark, texts):
-    library, start, want = ChunkEncoder(BYTE_BPE).library, 0, []
+    library, start, want = untouched(BYTE_BPE), 0, []
     for i, t in sorted(texts.items()):
         ids = np.array(library.encode(t, add_special_tokens=False).ids + [0], "<u4")
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
@@ -362,7 +387,7 @@ def check_packing(rows_, ids):
 
 def test_op10_is_whole_and_tight(spark, odd):
     folder = "/root/testdata/sf0.01"
-    library = ChunkEncoder(WORD_BPE).library
+    library = untouched(WORD_BPE)
     ids = {r.doc_id: np.array(library.encode(r.text, add_special_tokens=False).ids + [2], "<u4") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     assert check_packing(registry.QUERIES["op10_sequence_packing"](spark, folder).collect(), ids) < 0.02
     assert packing.pack(odd).groupBy("doc_id").count().count() == 7 and packing.pack(odd.limit(0)).count() == 0

@@ -6,8 +6,8 @@ import collections
 
 
 import corpus_pipeline
-from corpuslens.llm.tokenizing import WORD_BPE, ChunkEncoder
-from tests.llm.test_operators import brute_components, word_sets
+from corpuslens.llm.tokenizing import WORD_BPE
+from tests.llm.test_operators import brute_components, untouched, word_sets
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +27,7 @@ def test_stages(spark):
     found = brute_components(word_sets({r.doc_id: r.text for r in tables["exact_dedup"]}))
     assert sorted(r.doc_id for r in tables["near_dedup"]) == sorted({c for _, c in found.values()})
     assert {r.doc_id for r in tables["source_mixing"]} <= {r.doc_id for r in tables["near_dedup"]}
-    library = ChunkEncoder(WORD_BPE).library
+    library = untouched(WORD_BPE)
     copies = collections.Counter(r.doc_id for r in tables["source_mixing"])
     text = {r.doc_id: r.text for r in tables["near_dedup"]}
     total = sum(n * (len(library.encode(text[i], add_special_tokens=False).ids) + 1) for i, n in copies.items())
