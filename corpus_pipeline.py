@@ -18,27 +18,51 @@ from corpuslens.llm.store import Workspace
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language."""
+    """Documents in a language that is learnt from the labelled rows; others go.
+
+    A text that is null, without letters or far from every profile goes. Rows repeat as
+    they did, ties and null doc_ids are no case of their own, an empty table stays empty,
+    and every column of ``docs`` is kept. Profiles are learnt from all the labelled rows.
+    """
     return keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text."""
+    """One document of each text, the one with the largest doc_id.
+
+    A null text counts as an empty one. Of rows that share the largest doc_id one stays;
+    a null doc_id is less than any other. An empty table stays empty; all columns are kept.
+    """
     return drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram Jaccard join."""
+    """One document of each component of the n-gram Jaccard join, the one with the least doc_id.
+
+    Texts without words are linked with nothing and stay. A null doc_id comes after all
+    others. Of rows that share the least doc_id of a component one stays. An empty table
+    stays empty; all columns are kept.
+    """
     return drop_near_copies(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target weight asks for, in random order."""
+    """Documents as often as their source's target weight asks for, in random order.
+
+    Every source has the same weight, a null source too. Rows that share a doc_id, null
+    ones among them, are drawn alike. A text without characters is drawn at its source's
+    rate. An empty table stays empty; all columns are kept.
+    """
     return mix_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
+    """Pieces of documents in sequences of at most 4096 tokens.
+
+    A null or empty text is one token, its end. Rows that share a doc_id, as the copies
+    of the stage before do, are documents of their own; those with a null doc_id come
+    first. An empty table gives no pieces.
+    """
     return pack(docs)
 
 
