@@ -1,21 +1,23 @@
 """Exact deduplication by deterministic block naming.
 
 The bytes of each text are cut into blocks of a fixed size. The distinct blocks are
-sorted into integer names; then adjacent pairs of names are named in the same way, again
-and again, until each document has one name. Two texts have the same length and the same
-final name exactly when their bytes are the same.
-
-Text is shuffled once, when the distinct blocks are sorted, and a block that repeats is
-reduced to one row before that shuffle. Where a block occurs is carried by a SHA-256 of
-it, not by its bytes; that each digest stands for one block only is checked, and a digest
-of two blocks raises an error, so names are never shared by different blocks. From then
-on only integers move. Joins that give names back to places have both sides exchanged, so
-adaptive execution splits the places of a block that a third of all rows hold.
+sorted, and a block's place in that order is its name; then adjacent pairs of names are
+sorted and named in the same way, again and again, until each document has one name. Two
+texts have the same length and the same final name exactly when their bytes are the same.
+Names depend on the texts alone, not on partitions.
+
+Text is shuffled twice: when repeated blocks are reduced to one (within each task first)
+and when the distinct ones are sorted. Where a block occurs is carried by a SHA-256 of it,
+not by its bytes; that each digest stands for one block only is checked, and a digest of
+two blocks raises an error, so names are never shared by different blocks. From then on
+only integers move. Both sides of the joins that give names and groups back to rows are
+written tables: small ones are broadcast by the planner, which knows their size, and
+beyond that adaptive execution splits a block or group that a third of all rows have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm.rows import stay
@@ -33,9 +35,18 @@ def _blocks(block_bytes: int) -> str:
     )
 
 
-def _named(distinct: DataFrame, order: list[str]) -> DataFrame:
-    """Integer names: the place of each distinct row among the sorted rows of its bucket."""
-    return distinct.sortWithinPartitions(*order).withColumn("name", F.monotonically_increasing_id())
+def _named(distinct: DataFrame, order: list[str], work: Workspace, name: str, keep: list[str]) -> DataFrame:
+    """``keep`` and ``name``, the place of each row of the table ``distinct`` in its global order.
+
+    Rows are sorted by range, and the rows before each range are added up from one row a
+    range. So a name depends on the rows alone, not on how many tasks named them.
+    """
+    place = F.monotonically_increasing_id()
+    rows = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = work.write(rows.select(*keep, F.shiftright(place, 33).alias("range"), place.bitwiseAND((1 << 33) - 1).alias("own")), name)
+    sizes = rows.groupBy("range").agg(F.count("*").alias("n"))
+    before = work.write(sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before")), f"{name}-ranges")
+    return rows.join(before, "range").select(*keep, (F.col("before") + F.col("own")).alias("name"))
 
 
 def name_documents(docs: DataFrame, work: Workspace, block_bytes: int = BLOCK_BYTES, digest: str = "unhex(sha2(b, 256))") -> DataFrame:
@@ -55,7 +66,7 @@ def name_documents(docs: DataFrame, work: Workspace, block_bytes: int = BLOCK_BY
         "places",
     )
     distinct = text.select(F.explode(F.expr(_blocks(block_bytes))).alias("b")).select(F.expr(digest).alias("digest"), "b").distinct()
-    names = work.write(_named(distinct, ["b"]).select("digest", "name"), "names-0")
+    names = work.write(_named(work.write(distinct, "blocks"), ["b"], work, "sorted-0", ["digest"]), "names-0")
     if not names.groupBy("digest").count().where("count > 1").isEmpty():
         raise RuntimeError("two different blocks have the same digest; use another digest")
     level = places.select("rid", F.size("digests").alias("n"), F.posexplode("digests").alias("pos", "digest"))
@@ -70,7 +81,8 @@ def name_documents(docs: DataFrame, work: Workspace, block_bytes: int = BLOCK_BY
         pairs = level.where("n > 1").groupBy("rid", "n", F.floor(F.col("pos") / 2).cast("int").alias("at")).agg(side(0).alias("a"), F.coalesce(side(1), F.lit(-1)).alias("c"))
         pairs = work.write(pairs, f"pairs-{k}")
         k, most = k + 1, (most + 1) // 2
-        names = work.write(_named(pairs.select("a", "c").distinct(), ["a", "c"]), f"names-{k}")
+        distinct = work.write(pairs.select("a", "c").distinct(), f"distinct-{k}")
+        names = work.write(_named(distinct, ["a", "c"], work, f"sorted-{k}", ["a", "c"]), f"names-{k}")
         level = pairs.join(names, ["a", "c"]).select("rid", F.ceil(F.col("n") / 2).cast("int").alias("n"), F.col("at").alias("pos"), "name")
         level = work.write(level, f"level-{k}")
     final = done[0]
@@ -88,8 +100,10 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     Texts may be of any length. Other columns of ``docs`` are not read, so their names
     can't clash.
     """
-    named = name_documents(docs, Workspace(docs.sparkSession, "exact-dedup"), block_bytes)
+    work = Workspace(docs.sparkSession, "exact-dedup")
+    named = name_documents(docs, work, block_bytes)
     best = named.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("group_size"))
+    best = work.write(best, "best")  # so that the join's shuffle of the rows is its own and can be split
     return named.join(best, ["level", "name"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),

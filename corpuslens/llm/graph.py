@@ -16,8 +16,9 @@ def _mark(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """``(node, root)`` of every node of ``edges(a, b)``: root is its component's least node.
 
-    Each round only aggregates minima (with map-side partials) and joins them back, so a
-    node with very many edges is spread by the skew join. A root is a node of its own
+    Each round only aggregates minima (with map-side partials), writes them, and joins them
+    back; as both sides of the joins are written tables, small minima are broadcast and
+    otherwise adaptive execution splits a node with very many edges. A root is a node of its own
     component, with ``node = root``. Self loops and repeated edges change nothing; no
     edges give no rows. The rounds stop when the edges no longer change, which takes a
     logarithmic number of them.
@@ -29,9 +30,10 @@ def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
         k += 1
         both = now.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(now.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+        least = work.write(least, f"{name}-{k}-least")
         large = both.join(least, "x").where("y > x and y <> m").select(F.col("y").alias("u"), F.col("m").alias("v"))
         large = work.write(large, f"{name}-{k}-large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = work.write(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{k}-low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = work.write(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), f"{name}-{k}")
         last, mark = mark, _mark(now)

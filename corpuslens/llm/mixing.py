@@ -21,6 +21,8 @@ from corpuslens.llm.store import Workspace
 SEED = "mix-1"
 #: A rate above this is drawn as a sum of Poisson numbers, so that exp(-rate) stays exact.
 PART_RATE = 16.0
+#: Copies of a row that one step writes out.
+CHUNK = 1024
 
 
 def rates(docs: DataFrame, work: Workspace, weights: dict[str, float] | None = None, epochs: float = 1.0) -> DataFrame:
@@ -49,20 +51,34 @@ def _copies(seed: str) -> str:
     drawn = (
         "aggregate(sequence(1, cast(ceil(lam + 12 * sqrt(lam)) as int) + 24), "
         "named_struct('p', exp(-lam), 'c', exp(-lam), 'n', 0), "
-        "(s, k) -> named_struct('p', s.p * lam / k, 'c', s.c + s.p * lam / k, 'n', s.n + if(s.c <= u, 1, 0)), s -> s.n)"
+        "(s, k) -> named_struct('p', s.p * lam / k, 'c', s.c + s.p * lam / k, 'n', s.n + if(s.c <= u, 1, 0)), s -> cast(s.n as bigint))"
     )
     one = f"transform(array({unit}), u -> {drawn})[0]"
-    parts = f"greatest(1, cast(ceil(__rate / {PART_RATE}D) as int))"
-    return f"if(__rate <= 0, 0, aggregate(sequence(1, {parts}), 0, (acc, j) -> acc + transform(array(__rate / {parts}), lam -> {one})[0]))"
+    parts = f"greatest(1L, cast(ceil(__rate / {PART_RATE}D) as bigint))"
+    return f"if(__rate <= 0, 0L, aggregate(sequence(1L, {parts}), 0L, (acc, j) -> acc + transform(array(__rate / {parts}), lam -> {one})[0]))"
 
 
 def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
-    """``docs`` with each row as often as it is drawn, and ``__copy`` from 1 on, in no order."""
+    """``docs`` with each row as often as it is drawn, and ``__copy`` from 1 on, in no order.
+
+    Where a rate is high (a source with little text and a large weight), rows drawn more
+    than ``CHUNK`` times are first made into chunks of so many copies, which are spread
+    over all tasks before they are written out one by one.
+    """
     work = Workspace(docs.sparkSession, "mixing")
     rate = work.write(rates(docs, work, weights, epochs), "rates").select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     drawn = docs.join(rate, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__key", key).withColumn("__count", F.expr(_copies(seed)))
-    return drawn.where("__count > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__count")))).drop("__source", "__rate", "__count")
+    copies = lambda rows, first: rows.withColumn("__copy", F.explode(F.expr(f"sequence({first} + 1, least(__count, {first} + {CHUNK}))")))
+    highest = rate.agg(F.max("__rate")).first()[0] or 0.0
+    if highest < CHUNK / 4:  # then no more than CHUNK copies but for a chance below 1e-300
+        out = drawn.where("__count > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__count"))))
+        return out.drop("__source", "__rate", "__count")
+    some = copies(drawn.where(f"__count between 1 and {CHUNK}"), "0L")
+    chunks = drawn.where(f"__count > {CHUNK}").withColumn("__first", F.explode(F.expr(f"sequence(0L, __count - 1, {CHUNK}L)")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = copies(chunks.repartition(parts, "__key", "__first"), "__first").drop("__first")
+    return some.unionByName(many).drop("__source", "__rate", "__count")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
@@ -71,7 +87,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     The columns are doc_id, source, copy (from 1 on), shuffle_key (rows are in its order)
     and text. A null source is a source of its own; a null doc_id is drawn like a doc_id
     ``null``, and rows that share a doc_id are drawn alike. Texts without characters weigh
-    nothing but are drawn at their source's rate. An empty table gives no rows; columns of
+    nothing but are drawn at their source's rate. A source with little text is repeated
+    until it has its share: one document of one letter beside 6 MB of another source is
+    drawn some three million times, each copy a row. An empty table gives no rows; columns of
     other names are dropped.
     """
     own = docs.select("doc_id", "text", F.col("source").cast("string").alias("source"))
@@ -108,7 +126,7 @@ WITH RECURSIVE own AS (
       x <= ('0x' || substr(md5('{SEED}:count:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || j::VARCHAR), 1, 13))::BIGINT / 4503599627370496::DOUBLE)))) AS n
   FROM documents d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source
 ), copies AS (
-  SELECT *, unnest(range(1, n::BIGINT + 1))::INT AS copy FROM drawn
+  SELECT *, unnest(range(1, n::BIGINT + 1))::BIGINT AS copy FROM drawn
 )
 SELECT doc_id, source, copy,
   ('0x' || substr(md5('{SEED}:place:' || key || ':' || copy::VARCHAR), 1, 15))::BIGINT AS shuffle_key, text

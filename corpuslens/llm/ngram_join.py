@@ -7,7 +7,9 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    one signature are one class from here on, so copies are never paired.
 2. Every text is read again; its shingles are dealt out in packed blocks by hash range. A
    block range counts in how many classes each shingle is, and sends on only shingles of
-   two classes or more, with that count: no other shingle can be in a link.
+   two classes or more, with that count: no other shingle can be in a link. Shingles that
+   a large share of all texts have were counted in step 1; they are dealt by class too, so
+   no task gets all classes of one.
 3. A class knows its size and its shared shingles. Ordered rarest first, its unshared
    shingles come before the shared ones, so a class with as many unshared shingles as its
    prefix is long is done. The rest (texts with near copies) are the table ``sets``.
@@ -23,6 +25,9 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    different components, and only these, are verified. So components are exact, and a
    large group of near copies takes few pairs more than it has members.
 
+Shingles are told apart by 64-bit hashes, and by 57 bits of them where two sets are
+compared, so a result is exact but for collisions of these.
+
 Order of shingles: the number of classes as a power of two, then the hash. Both are in
 one 64-bit token, so tokens sort rarest first.
 """
@@ -44,6 +49,8 @@ from corpuslens.llm.store import Workspace
 THRESHOLD = 75
 #: Shingles in one block range, and the least number of ranges.
 RANGE_SHINGLES, LEAST_RANGES = 3_000_000, 64
+#: A shingle that this share of the classes of a slice have, and so many of all, is hot.
+HOT_SHARE, HOT_LEAST = 1 / 128, 2_000
 #: Hashes under which classes are first held against a central one.
 STARS = 4
 #: 64-bit words of the parity sketch of a class's shared shingles.
@@ -59,13 +66,64 @@ def _sig_strings(sigs: np.ndarray) -> list[bytes]:
     return [raw[k : k + 16] for k in range(0, len(raw), 16)]
 
 
+def _frequent(ends: np.ndarray, hashes: np.ndarray, sigs: np.ndarray) -> bytes | None:
+    """Shingles that ``HOT_SHARE`` of the classes at hand have, with how many: pairs of 64-bit numbers."""
+    owner, hashes, classes = _of_classes(ends, hashes, sigs)
+    found, counts = np.unique(hashes, return_counts=True)
+    often = counts >= max(4, HOT_SHARE * classes)
+    return np.stack([found[often], counts[often].astype(np.uint64)], axis=1).tobytes() if often.any() else None
+
+
+def _of_classes(ends: np.ndarray, hashes: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Owner and hash of the shingles of the first text of each class, and the number of classes."""
+    sizes = np.diff(ends, prepend=0)
+    _, first = np.unique(_classes(sigs), return_index=True)
+    once = np.zeros(len(sizes), bool)
+    once[first] = True
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner[once[owner]], hashes[once[owner]], len(first)
+
+
 def _set_rows(width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 ends, hashes = shingle_sets(part.column(1), width)
-                sizes = np.diff(ends, prepend=0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(_sig_strings(signatures(ends, hashes)), pa.binary())], ["doc_id", "n_shingles", "sig"])
+                sizes, sigs = np.diff(ends, prepend=0), signatures(ends, hashes)
+                often = [_frequent(ends, hashes, sigs), *[None] * (len(sizes) - 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(_sig_strings(sigs), pa.binary()), pa.array(often, pa.binary())], ["doc_id", "n_shingles", "sig", "often"])
+
+    return rows
+
+
+def _often_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            pairs = np.frombuffer(raw, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hash", "n"])
+
+
+def hot_shingles(classes: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that a large share of all texts have, sorted, and a count of their classes.
+
+    One in twice ``HOT_SHARE`` of the texts is found, as slices in which it has that share
+    have half of it. There are at most (mean set size) / ``HOT_SHARE`` such shingles,
+    whatever the number of texts: for sets of 1000, 128,000 of 16 bytes.
+    """
+    counts = classes.where("often is not null").select("often").mapInArrow(_often_rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    least = max(HOT_LEAST, HOT_SHARE * total)
+    found = counts.where(F.col("n") >= least).toArrow()
+    hashes, n = found.column("hash").to_numpy().astype(np.int64).view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+def _place(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Where each hash is in ``hot``, or -1."""
+    if not len(hot):
+        return np.full(len(hashes), -1, np.int64)
+    at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
+    return np.where(hot[at] == hashes, at, -1)
 
     return rows
 
@@ -106,33 +164,38 @@ def _classes(sigs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dealt_rows(width: int, ranges: int):
+def _dealt_rows(width: int, ranges: int, hot: np.ndarray):
+    """Shingles by hash range; those of ``hot`` by class and hash, in as many further parts."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0):
                 ends, hashes = shingle_sets(part.column(0), width)
                 sigs, sizes = signatures(ends, hashes), np.diff(ends, prepend=0)
-                _, first = np.unique(_classes(sigs), return_index=True)  # copies within the part count once
-                once = np.zeros(len(sizes), bool)
-                once[first] = True
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                hashes, owner = hashes[once[owner]], owner[once[owner]]
-                keys = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+                owner, hashes, _ = _of_classes(ends, hashes, sigs)  # copies within the part count once
+                spread = np.where(_place(hashes, hot) < 0, hashes, mix(hashes ^ sigs[owner, 0]))
+                keys = ((spread >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+                keys[_place(hashes, hot) >= 0] += ranges
                 if packed := list(_packed(keys, sigs, sizes, owner, hashes)):
                     yield _run_batch(packed)
 
     return rows
 
 
-def _shared_rows(parts: int):
-    """Of one hash range: shingles of two classes or more, as tokens, dealt out by class."""
+def _shared_rows(parts: int, hot: np.ndarray, hot_counts: np.ndarray):
+    """Of one hash range: shingles of two classes or more, as tokens, dealt out by class.
+
+    A part of hot shingles has some of their classes only and takes their known counts.
+    """
 
     def rows(table: pa.Table) -> pa.Table:
         sigs, sizes, owner, hashes = _unpacked(table)
         order = np.argsort(hashes, kind="stable")
         ordered = hashes[order]
         same = ordered[1:] == ordered[:-1]
-        order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))] if len(order) else order
+        known = bool(len(hashes)) and bool(_place(hashes[:1], hot)[0] >= 0)  # then all of the part are
+        if len(order) and not known:
+            order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
         hashes, who = hashes[order], _classes(sigs)[owner[order]]
         order = order[(by := np.lexsort((who, hashes)))]
         hashes, who = hashes[by], who[by]
@@ -140,7 +203,7 @@ def _shared_rows(parts: int):
             new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (who[1:] != who[:-1])))
             hashes, order = hashes[new], order[new]
         _, at, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        df = df[at]
+        df = hot_counts[_place(hashes, hot)] if known else df[at]
         hashes, order, df = hashes[df > 1], order[df > 1], df[df > 1]
         tokens = (np.floor(np.log2(df)).astype(np.uint64) << np.uint64(57)) | (hashes >> np.uint64(7))
         own = owner[order]
@@ -268,15 +331,17 @@ class _Linker:
 def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_shingles, sig)`` of every row; the signature of an empty set is 0."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return work.write(text.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, sig binary"), "classes")
+    return work.write(text.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, sig binary, often binary"), "classes")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> tuple[DataFrame, DataFrame]:
     """``(links, sets)``: links ``(a, b)`` between signatures whose closure is exact."""
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    rows_, total = classes.agg(F.count("*"), F.sum("n_shingles")).first()
+    total = total or 0
+    hot, hot_counts = hot_shingles(classes, rows_)
     ranges = max(LEAST_RANGES, -(-total // range_shingles))
-    dealt = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_dealt_rows(width, ranges), _RUNS)
-    shared = dealt.groupBy("part").applyInArrow(_shared_rows(ranges), _RUNS)
+    dealt = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_dealt_rows(width, ranges, hot), _RUNS)
+    shared = dealt.groupBy("part").applyInArrow(_shared_rows(ranges, hot, hot_counts), _RUNS)
     sets = shared.groupBy("part").applyInArrow(_candidate_rows(threshold), _SETS)
     sets = work.write(sets, "sets")
     linker = _Linker(sets, work, threshold)
@@ -284,6 +349,7 @@ def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold:
     lone = F.struct((F.col("single") / F.col("n")).alias("lone"), "sig", "n")
     stars = work.write(sets.select("sig", "n", "single", F.posexplode(keys).alias("r", "key")), "stars")
     hubs = stars.groupBy("r", "key").agg(F.min(lone).alias("hub"), F.count("*").alias("m")).where("m > 1").select("r", "key", "hub.sig", "hub.n")
+    hubs = work.write(hubs, "hubs")
     near = stars.alias("x").join(hubs.alias("y"), (F.col("x.key") == F.col("y.key")) & F.expr(f"x.r = y.r and x.sig <> y.sig and 100 * least(x.n, y.n) >= {threshold} * greatest(x.n, y.n)"))
     pair = [F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")]
     linker.add(near.select(*pair))
@@ -317,7 +383,7 @@ def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = W
     roots = components(links, work, "components-final")
     least = classes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     rooted = work.write(least.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "least", F.coalesce("root", "sig").alias("root")), "rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = work.write(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root-ids")
     ids = work.write(rooted.join(ids, "root").select("sig", "component_id"), "component-ids")
     some = classes.where("n_shingles > 0").join(ids, "sig").select("doc_id", "n_shingles", "component_id")
     return some.unionByName(classes.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

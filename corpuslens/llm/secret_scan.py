@@ -3,8 +3,9 @@
 Candidate strings are runs of the characters that keys and tokens are made of. Each is put
 in a class by its characters; a window slides over it and its entropy is kept up by the
 counts of the one character that leaves and the one that enters. Windows at or above the
-class's threshold make spans, unless the candidate is on the allow-list (UUIDs, e-mail and
-URL parts, plain words and numbers, placeholders).
+class's threshold make spans, unless the allow-list suppresses them: whole candidates that
+are UUIDs, numbers or plain words, or that lie in the host or path of a URL (not in its
+query) or beside the @ of an e-mail address; and windows that overlap a placeholder.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ _ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
     re.compile(r"[0-9_/+-]+"),
     re.compile(r"[A-Za-z]+([_/-][A-Za-z]*)*"),
-    re.compile(r".*(?:example|placeholder|changeme|xxxx|0000|1234567).*", re.IGNORECASE),
 ]
+#: Windows that overlap one of these are suppressed; the rest of the candidate isn't.
+_PLACEHOLDER = re.compile(r"example|placeholder|changeme|x{6,}|0{8,}|12345678", re.IGNORECASE)
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20?#=&\"'<>]*")
 
 
 def window_entropy(counts: dict[str, int], size: int) -> float:
@@ -86,6 +89,29 @@ def allowed(text: str) -> bool:
     return any(p.fullmatch(text) for p in _ALLOWED)
 
 
+def _entropy_spans(text: str) -> list[tuple[str, int, int]]:
+    """Spans of the entropy classes, from the candidates that are not on the allow-list."""
+    out: list[tuple[str, int, int]] = []
+    urls = [m.span() for m in _URL.finditer(text)] if "://" in text else []
+    k = 0
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        word = m[0]
+        kind = string_class(word)
+        if not kind or allowed(word) or text[a - 1 : a] == "@" or text[b : b + 1] == "@":
+            continue
+        while k < len(urls) and urls[k][1] <= a:
+            k += 1
+        if k < len(urls) and urls[k][0] < b:
+            continue
+        size, least = WINDOWS[kind]
+        at = 0
+        for start, end in [*(p.span() for p in _PLACEHOLDER.finditer(word)), (len(word), len(word))]:
+            out += [(kind, a + at + i, a + at + j) for i, j in entropy_runs(word[at:start], size, least)]
+            at = end
+    return out
+
+
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans and entropy spans, each (kind, start, end) in code points."""
     base = []
@@ -94,14 +120,10 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
         base += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         base += [("access", *m.span()) for m in _ACCESS.finditer(text)]
-    more = []
+    more: list[tuple[str, int, int]] = []
     if _LONG_RUN.search(text):
         base += [("hex", *m.span()) for m in _HEX.finditer(text)]
-        for m in _CANDIDATE.finditer(text):
-            word = m[0]
-            if (kind := string_class(word)) and not allowed(word):
-                size, least = WINDOWS[kind]
-                more += [(kind, m.start() + a, m.start() + b) for a, b in entropy_runs(word, size, least)]
+        more = _entropy_spans(text)
     return base, more
 
 

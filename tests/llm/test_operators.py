@@ -227,9 +227,55 @@ def test_op5_ngrams_equal_brute_force():
 def test_op5_odd_rows(odd):
     got = [(r.doc_id, r.lang_pred) for r in langid.identify(odd).collect()]
     assert [p for _, p in got] == ["und", "und", "en", "und", "und", "en", "en", "en", "en"]
-    kept = langid.keep_identified(odd)
+    kept = langid.keep_identified(odd, least=0.0)
     assert kept.columns == odd.columns and kept.count() == 5
-    assert langid.identify(odd.limit(0)).count() == 0
+    assert langid.identify(odd.limit(0)).count() == 0 and langid.keep_identified(odd.limit(0)).count() == 0
+
+
+def brute_profiles(pairs, size):
+    counts = collections.defaultdict(collections.Counter)
+    for text, lang in pairs:
+        counts[lang].update(brute_grams(text))
+    return {lang: {g: k for k, g in enumerate(ranked(c)[:size])} for lang, c in counts.items()}
+
+
+def brute_grams(text):
+    out = collections.Counter()
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        padded = "\0" + w + "\0"
+        out.update(w)
+        out.update(padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1))
+    return out
+
+
+def ranked(counts):
+    """Most frequent first; ties in the operator's order: three characters, two, one, then by code points."""
+    return sorted(counts, key=lambda g: (-counts[g], {3: 0, 2: 1, 1: 2}[len(g)], g))
+
+
+def test_op5_predictions_equal_brute_force_distances(spark, docs):
+    rows_ = [r for r in docs.collect()]
+    rows_ = [(r.doc_id, r.text[:400], r.lang) for r in rows_[:120]] + [(9000, "Ñandú été Ωmega", None), (9001, "ab", "en")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    size = 60
+    profiles = brute_profiles([(t, lang) for i, t, lang in rows_ if lang and zlib.crc32(str(i).encode()) % 5], size)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(df, size).collect()}
+    for i, text, _ in rows_:
+        own = ranked(brute_grams(text))[:size]
+        away = {lang: sum(abs(p[g] - k) if g in p else size for k, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(away), key=away.get)
+        assert got[i][0] == best and abs(got[i][1] - (1 - away[best] / (size * len(own)))) < 1e-12
+
+
+def test_op5_stage_drops_texts_of_no_learnt_language(spark, docs):
+    rng = random.Random(1)
+    other = ["我们今天去公园散步", "Καλημέρα κόσμε πώς είσαι σήμερα", "xqzj wvkq zzxj qqkw jxvz kqjx " * 20, "".join(rng.choices("bcdfghjkqvwxz ", k=3000)), "12 34", "", None]
+    more = spark.createDataFrame([(10**6 + k, t, None, "s", 0) for k, t in enumerate(other)], docs.schema)
+    got = [r.doc_id for r in langid.keep_identified(docs.unionByName(more)).collect()]
+    assert sorted(got) == sorted(r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text)))
+    some = {r.doc_id for r in langid.keep_identified(docs, langs=["de"]).collect()}
+    pred = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert some == {i for i in got if i in pred and pred[i] == "de"}
 
 
 def test_op6_totals_equal_brute_force_and_replays_change_nothing(spark, docs, odd, tmp_path):
@@ -435,3 +481,76 @@ def test_stay_keeps_one_row_of_a_repeated_key(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
     keep = spark.createDataFrame([(1, 2), (None, 1)], "k long, repeats long")
     assert sorted((r.k or -1) for r in rows.stay(df, keep, {"k": F.col("k")}).collect()) == [-1, 1]
+
+
+def test_op1_hot_shingles_are_dealt_by_class(spark, monkeypatch):
+    made = near_copies(seed=3, n=90)
+    page = " ".join(f"common{k}" for k in range(30))
+    made = {i: t + " " + page if i % 3 else page + " " + t for i, t in made.items()}
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    want = brute_components(word_sets(made))
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", 4)
+    work = Workspace(spark, "t")
+    hot, counts = ngram_join.hot_shingles(ngram_join.shingle_classes(df, work), len(made))
+    assert len(hot) >= 26 and counts.max() == len(made)
+    for least in (4, 2_000):
+        monkeypatch.setattr(ngram_join, "HOT_LEAST", least)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, range_shingles=500).collect()} == want
+
+
+def test_op8_names_are_places_in_sorted_order(spark):
+    texts_ = ["b" * 16 + "a" * 16, "a" * 16, "", "b" * 16 + "a" * 16, "a" * 40, "c"]
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    runs = []
+    for n in (1, 5):
+        named = exact_dedup.name_documents(df.repartition(n), Workspace(spark, "t"), 16)
+        runs.append({r.doc_id: (r.level, r.name) for r in named.collect()})
+    blocks = sorted({t[k : k + 16] for t in texts_ for k in range(0, max(1, len(t)), 16)})
+    assert runs[0] == runs[1] and runs[0][1] == (0, blocks.index("a" * 16)) and runs[0][5] == (0, blocks.index("c"))
+    assert runs[0][0] == runs[0][3] and len(set(runs[0].values())) == 5
+
+
+def test_op4_a_source_with_little_text(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "x", "small"), (2, "y" * 3000, "large"), (3, "z" * 3000, "large")], "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    got = sorted((r.doc_id, r.copy) for r in mixing.mix(df).collect())
+    monkeypatch.setattr(mixing, "CHUNK", 1 << 20)
+    assert got == sorted((r.doc_id, r.copy) for r in mixing.mix(df).collect())
+    n = sum(i == 1 for i, _ in got)
+    assert 2600 < n < 3400 and [c for i, c in got if i == 1] == list(range(1, n + 1))
+
+
+def brute_entropy(text):
+    """Spans of the entropy classes by Shannon's formula on each window."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", text):
+        kind = secret_scan.string_class(m[0])
+        url = any(u.start() < m.end() and m.start() < u.end() for u in re.finditer(r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20?#=&\"'<>]*", text))
+        if not kind or secret_scan.allowed(m[0]) or url or "@" in (text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]):
+            continue
+        size, least = secret_scan.WINDOWS[kind]
+        holes = [p.span() for p in re.finditer(r"(?i)example|placeholder|changeme|x{6,}|0{8,}|12345678", m[0])]
+        spans = []
+        for k in range(len(m[0]) - size + 1):
+            counts = collections.Counter(m[0][k : k + size])
+            bits = -sum(c / size * np.log2(c / size) for c in counts.values())
+            if bits >= least - 1e-9 and not any(a < k + size and k < b for a, b in holes):
+                if spans and k <= spans[-1][1]:
+                    spans[-1][1] = k + size
+                else:
+                    spans.append([k, k + size])
+        out += [(kind, m.start() + a, m.start() + b) for a, b in spans]
+    return out
+
+
+def test_op2_entropy_spans_equal_brute_force_and_the_allow_list(spark, texts):
+    rng = random.Random(6)
+    made = ["".join(rng.choices("abcdefABCDEF0123456789+/_-=@ .:?x", k=400)) for _ in range(60)]
+    key = "Zk3vQ9xT7bLm2Wc8RfY5aQ"
+    url = "https://site.org/articles/2024/climate7report/section12/page34b"
+    made += [url, f"https://site.org/a?k={key}", f"{key}@mail.org", f"me@{key}", f"example/{key}", f"{key}0000{key}", "Ab1" * 20_000 + key, f"key={key}12345678{key}"]
+    for t in [*made, *texts.values()]:
+        assert sorted(secret_scan.scan(t)[1]) == sorted(brute_entropy(t))
+    assert secret_scan.scan(url)[1] == [] and len(secret_scan.scan(f"https://site.org/a?k={key}")[1]) == 1
+    assert secret_scan.scan(f"{key}@mail.org")[1] == [] and secret_scan.scan(f"example/{key}")[1] and secret_scan.scan(f"{key}0000{key}")[1]
+    assert secret_scan.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import collections
 
+import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpuslens.llm.tokenizing import WORD_BPE
@@ -34,6 +36,30 @@ def test_stages(spark):
     assert sum(r.length for r in tables["packing"]) == total
 
 
+def odd_docs(spark):
+    values = [(1, None, None, "s", 9), (2, "", "en", None, 9), (None, "in a long row the words are of this text", "en", None, 9), (3, "12 34 !!", "en", "s", 9), (3, "12 34 !!", "en", "s", 9)]
+    values += [(4, "the words of this text are in a long row " * 3000, "en", "s", 9), (5, "the words of this text are in a long row " * 3000, None, "s", 9), (6, "the words of this text and more words", "en", "s", 9), (6, "another text of the same id in the row", "en", "s", 9)]
+    return spark.createDataFrame(values, "doc_id long, text string, lang string, source string, n_chars long").withColumn("rank", F.lit(2)).withColumn("sig", F.lit("x"))
+
+
+@pytest.mark.parametrize(("name", "kept"), [("language_id", [-1, 4, 5, 6, 6]), ("exact_dedup", [-1, 2, 3, 5, 6, 6]), ("near_dedup", [-1, 1, 2, 3, 4, 6])])
+def test_stages_on_odd_rows(spark, name, kept):
+    odd = odd_docs(spark)
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out = stage(spark, odd, SF)
+    assert out.columns == odd.columns and sorted(r.doc_id or -1 for r in out.collect()) == kept
+    assert stage(spark, odd.limit(0), SF).count() == 0
+
+
+def test_mixing_and_packing_on_odd_rows(spark):
+    odd, stages = odd_docs(spark), dict(corpus_pipeline.STAGES)
+    mixed = stages["source_mixing"](spark, odd, SF)
+    counts = collections.Counter((r.doc_id, r.text) for r in mixed.collect())
+    assert mixed.columns == odd.columns and counts[3, "12 34 !!"] % 2 == 0 and stages["source_mixing"](spark, odd.limit(0), SF).count() == 0
+    packed = stages["packing"](spark, odd, SF).collect()
+    assert sum(r.start == 0 for r in packed) == 9 and stages["packing"](spark, odd.limit(0), SF).count() == 0
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and out.count() > 0
