@@ -183,6 +183,34 @@ def test_op3_anchors_lose_nothing():
                 assert any(x in " ".join(unit) for x in found)
 
 
+def test_op3_runs_cross_lines_and_lie_inside_lines(spark):
+    T = license_scan.TEMPLATES
+    code = "\n".join(f"let v{k} = f({k}) + {k * 7};" for k in range(200))
+    wrapped = lambda t, n: "\n".join(" * " + " ".join(t.split()[k : k + n]) for k in range(0, len(t.split()), n))
+    rest = " ".join(f"further{k} term{k % 7} holds" for k in range(3000))
+    texts_ = {
+        "gpl-3.0": wrapped(T["gpl-3.0/header"], 9) + "\n" + code,
+        "bsd-3-clause": code + "\n" + wrapped(T["bsd-3-clause"], 7) + "\n" + code,
+        "apache-2.0": "This tool was written last year. " + T["apache-2.0"] + " Its authors may be reached by mail at any time.",
+        "mit": "Copyright (c) 2020 A. Author\n\n" + wrapped(T["mit/full"], 12).replace(" * ", ""),
+        "agpl-3.0": wrapped(T["agpl-3.0/opening"], 10) + "\n" + rest,
+        "lgpl-2.1": "// " + T["lgpl-2.1/header"].replace("the terms", "these terms") + " " + rest,
+    }
+    df = spark.createDataFrame(list(enumerate(texts_.values())), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    for k, name in enumerate(texts_):
+        assert got[k].license == name and name in got[k].licenses.split(","), (name, got[k])
+    assert "gpl-2.0" not in got[0].licenses and got[2].score == 1.0
+    plain = spark.createDataFrame([(1, rest + code)], "doc_id long, text string")
+    assert license_scan.scan_licenses(plain).first().license is None
+    c = duckdb.connect()
+    c.register("documents", df.unionByName(plain.selectExpr("doc_id + 100 as doc_id", "text")).toPandas())
+    q = c.sql(license_scan.oracle())
+    want = sorted(map(repr, q.select("doc_id, license, score, n_units, licenses").fetchall()))
+    both = license_scan.scan_licenses(df.unionByName(plain.selectExpr("doc_id + 100 as doc_id", "text")))
+    assert sorted(repr(tuple(r)) for r in both.select("doc_id", "license", "score", "n_units", "licenses").collect()) == want
+
+
 def test_op3_odd_rows(spark, odd):
     assert [r.license for r in license_scan.scan_licenses(odd).collect()] == [None] * 9
     df = spark.createDataFrame([(1, "some other words\nReleased under the MIT license\nand more words")], "doc_id long, text string")
@@ -505,7 +533,7 @@ def test_op8_names_are_places_in_sorted_order(spark):
     for n in (1, 5):
         named = exact_dedup.name_documents(df.repartition(n), Workspace(spark, "t"), 16)
         runs.append({r.doc_id: (r.level, r.name) for r in named.collect()})
-    blocks = sorted({t[k : k + 16] for t in texts_ for k in range(0, max(1, len(t)), 16)})
+    blocks = sorted({t[k : k + 16] for t in texts_ for k in range(0, max(1, len(t)), 16)})  # all differ in their first 32 bytes
     assert runs[0] == runs[1] and runs[0][1] == (0, blocks.index("a" * 16)) and runs[0][5] == (0, blocks.index("c"))
     assert runs[0][0] == runs[0][3] and len(set(runs[0].values())) == 5
 
