@@ -1,13 +1,13 @@
 """Exact deduplication by deterministic block naming.
 
 The bytes of each text are cut into blocks of a fixed size. The distinct blocks are
-sorted, and a block's place in that order is its name; then adjacent pairs of names are
+sorted (by their first bytes, then by digest), and a block's place is its name; then adjacent pairs of names are
 sorted and named in the same way, again and again, until each document has one name. Two
 texts have the same length and the same final name exactly when their bytes are the same.
 Names depend on the texts alone, not on partitions.
 
-Text is shuffled twice: when repeated blocks are reduced to one (within each task first)
-and when the distinct ones are sorted. Where a block occurs is carried by a SHA-256 of it,
+Text is shuffled once, when repeated blocks are reduced to one (within each task first);
+the sort moves 64 bytes a block. Where a block occurs is carried by a SHA-256 of it,
 not by its bytes; that each digest stands for one block only is checked, and a digest of
 two blocks raises an error, so names are never shared by different blocks. From then on
 only integers move. Both sides of the joins that give names and groups back to rows are
@@ -24,6 +24,8 @@ from corpuslens.llm.rows import stay
 from corpuslens.llm.store import Workspace
 
 BLOCK_BYTES = 4096
+#: Blocks are sorted by so many bytes and then by their SHA-256, so whole blocks needn't move again.
+PREFIX_BYTES = 32
 
 
 def _blocks(block_bytes: int) -> str:
@@ -66,7 +68,8 @@ def name_documents(docs: DataFrame, work: Workspace, block_bytes: int = BLOCK_BY
         "places",
     )
     distinct = text.select(F.explode(F.expr(_blocks(block_bytes))).alias("b")).select(F.expr(digest).alias("digest"), "b").distinct()
-    names = work.write(_named(work.write(distinct, "blocks"), ["b"], work, "sorted-0", ["digest"]), "names-0")
+    distinct = work.write(distinct.select(F.substring("b", 1, PREFIX_BYTES).alias("prefix"), "digest"), "blocks")
+    names = work.write(_named(distinct, ["prefix", "digest"], work, "sorted-0", ["digest"]), "names-0")
     if not names.groupBy("digest").count().where("count > 1").isEmpty():
         raise RuntimeError("two different blocks have the same digest; use another digest")
     level = places.select("rid", F.size("digests").alias("n"), F.posexplode("digests").alias("pos", "digest"))
