@@ -362,6 +362,56 @@ def test_op7_rejects_junk_and_keeps_labelled_good_rows(spark):
     assert np.mean([r.kept for r in passed if label.get(r.doc_id) == 1]) > 0.95
 
 
+def brute_mcd(x):
+    """Squared distances by concentration steps on the exact h nearest rows, from the same three starts."""
+    n, d = x.shape
+    h, floors = int(np.ceil(0.75 * n)), np.array(quality_mcd.FLOORS)
+    med, q1, q3 = (np.quantile(x, q, axis=0, method="inverted_cdf") for q in (0.5, 0.25, 0.75))
+    sd = np.sqrt(((q3 - q1) / 1.349) ** 2 + floors**2)
+    z = (x - med) / sd
+    best = None
+    for y in (None, np.tanh(z), z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)):
+        r = np.eye(d)
+        if y is not None:
+            c = y.T @ y
+            r = c / np.sqrt(np.maximum(np.outer(np.diag(c), np.diag(c)), 1e-18))
+            np.fill_diagonal(r, 1)
+        m, s, last = med, r * np.outer(sd, sd) + np.diag(floors**2), np.inf
+        for _ in range(60):
+            near = np.argsort(np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m), kind="stable")[:h]
+            m, s = x[near].mean(axis=0), np.cov(x[near].T, bias=True) + np.diag(floors**2)
+            det = np.linalg.slogdet(s)[1]
+            if det > last - 1e-9:
+                break
+            last = det
+        if best is None or det < best[0] - 1e-9:
+            best = (det, m, s)
+    _, m, s = best
+    d2 = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    return d2 / max(1.0, np.sort(d2)[int(np.ceil(n / 2)) - 1] / quality_mcd.chi2_quantile(0.5))
+
+
+def test_op7_verdicts_equal_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 2))
+    got = {r.doc_id: r for r in quality_mcd.judge(docs).collect()}
+    groups, x = collections.defaultdict(list), {}
+    for r in docs.select("doc_id", "text", "lang", "source").collect():
+        n, chars, symbols, lines, repeats = brute_quality(r.text)
+        x[r.doc_id] = [np.log1p(n), np.log1p(chars / max(n, 1)), np.log1p(100 * symbols / max(chars, 1)), np.log1p(lines), repeats / max(n, 1)]
+        if not (n < 10 or 100 * repeats > 20 * n):
+            groups[r.lang, r.source].append(r.doc_id)
+    large = {g: ids for g, ids in groups.items() if len(ids) >= quality_mcd.LEAST_ROWS}
+    assert len(large) >= 4
+    cut, close, apart_ = quality_mcd.chi2_quantile(1 - quality_mcd.TAIL), 0, 0
+    for ids in large.values():
+        for i, d2 in zip(ids, brute_mcd(np.array([x[i] for i in ids])), strict=True):
+            apart_ += got[i].kept != (d2 <= cut)
+            close += abs(d2 / cut - 1) < 0.15
+            assert abs(d2 / cut - 1) < 0.15 or got[i].kept == (d2 <= cut), (d2, got[i])
+    assert apart_ <= close and close < 0.05 * len(x)
+
+
 def test_op7_estimates_resist_outliers(spark):
     rng = np.random.default_rng(7)
     good = rng.normal([5, 2, 0.5, 0.2, 0.1], [0.8, 0.3, 0.9, 0.8, 0.1], (3000, 5))
