@@ -107,6 +107,13 @@ def parse_date(c: Column) -> Column:
     return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in forms])
 
 
+def definition(text: Column, term: str, most: int) -> Column:
+    """The line that defines ``term``, at most ``most`` characters; null if none does."""
+    quote = "[\"\u201c\u201d\u2019']"
+    found = F.regexp_extract(text, rf"(?im)^([^\n]{{0,200}}{quote}\Q{term}\E{quote}\s*(?:means|shall\s+(?:mean|be|equal)|(?:has|shall\s+have)\s+the\s+meaning)[^\n]*)", 1)
+    return F.when(found != "", F.substring(found, 1, most))
+
+
 def pseudonym(c: Column, names: list[str]) -> Column:
     number = F.conv(F.substring(F.sha2(c, 256), 1, 8), 16, 10).cast("long")
     return F.element_at(F.array(*map(F.lit, names)), (number % len(names) + 1).cast("int"))

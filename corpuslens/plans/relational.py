@@ -212,10 +212,9 @@ def subject_threads(t):
     return grouping.subject_threads(t.events.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", 20)
 
 
-@query("""WITH RECURSIVE e AS (SELECT event_type AS p, event_id AS a, event_id - event_id % 7 AS b FROM events WHERE event_id % 7 <> 0 AND event_id < 2000), u AS (SELECT p, a, b FROM e UNION SELECT p, b, a FROM e), r AS (SELECT p, a, a AS root FROM u UNION SELECT u.p, u.a, r.root FROM u JOIN r ON u.p = r.p AND u.b = r.a)
+@query("""WITH RECURSIVE e AS (SELECT event_type AS p, event_id AS a, event_id - event_id % 7 AS b FROM events WHERE event_id % 7 <> 0), u AS (SELECT p, a, b FROM e UNION SELECT p, b, a FROM e), r AS (SELECT p, a, a AS root FROM u UNION SELECT u.p, u.a, r.root FROM u JOIN r ON u.p = r.p AND u.b = r.a)
 SELECT p, a, min(root) AS root FROM r GROUP BY ALL""")
 def reply_components(t):
-    """Over the whole table; the SQL holds it up to event 1999 only."""
     rows = t.events.where("event_id % 7 <> 0")
     edges = rows.select(F.col("event_type").alias("p"), F.col("event_id").alias("a"), (F.col("event_id") - F.col("event_id") % 7).alias("b"))
     _checkpoint_folder(t.spark)

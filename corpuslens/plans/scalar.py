@@ -191,9 +191,40 @@ def html_to_text(t):
     return t.pages.select("page_id", udfs.html_to_text("html").alias("text"))
 
 
-@query()
+_AGREEMENT = """SELECT conv_id, string_agg('Section ' || (turn + 1) || '.' || length(role) || ' Duties of ' || upper(substr(role, 1, 1)) || substr(role, 2) || '.' || chr(10) || '"Fee ' || turn || '" means ' || replace(text, chr(10), ' ') || chr(10) || repeat('x', 90) || chr(10), '' ORDER BY turn) AS body FROM conversations GROUP BY conv_id"""
+
+
+def agreements(t):
+    """Conversations written as agreements: a section a turn, after a table of contents."""
+    n, role = F.col("turn"), F.initcap("role")
+    head = F.concat(F.lit("Section "), (n + 1).cast("string"), F.lit("."), F.length("role").cast("string"), F.lit(" Duties of "), role)
+    body = F.concat(head, F.lit(".\n\"Fee "), n.cast("string"), F.lit('" means '), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("\n"), F.repeat(F.lit("x"), F.lit(90)), F.lit("\n"))
+    parts = F.array_sort(F.collect_list(F.struct("turn", F.concat(head, F.lit(" .... 7\n")).alias("entry"), body.alias("body"))))
+    made = t.conversations.groupBy("conv_id").agg(parts.alias("p"))
+    return made.select("conv_id", F.concat(F.array_join("p.entry", ""), F.array_join("p.body", "")).alias("text"))
+
+
+@query(f"SELECT conv_id, length(body) - length(replace(body, chr(10) || repeat('x', 90), chr(10) || repeat('x', 89))) AS n_sections FROM ({_AGREEMENT})")
 def section_headings(t):
-    return t.documents.select("doc_id", F.size(udfs.headings("text")).alias("n_headings"))
+    """Operative sections of each agreement: entries of the contents are none."""
+    return agreements(t).select("conv_id", F.size(F.filter(udfs.sections("text"), lambda s: s["operative"])).cast("long").alias("n_sections"))
+
+
+@query("""SELECT conv_id, substr('Section 2.' || length(role) || ' Duties of ' || upper(substr(role, 1, 1)) || substr(role, 2) || '.' || chr(10) || '"Fee 1" means ' || replace(text, chr(10), ' ') || chr(10) || repeat('x', 90) || chr(10), 1, 400) AS section,
+  substr('"Fee 1" means ' || replace(text, chr(10), ' '), 1, 150) AS definition FROM conversations WHERE turn = 1""")
+def section_windows(t):
+    """The section numbered 2.x of each agreement, capped, and the definition of a term."""
+    rows = agreements(t).select("conv_id", "text", F.filter(udfs.sections("text"), lambda s: s["operative"] & s["number"].startswith("2.") & s["title"].rlike("(?i)duties of"))[0].alias("s")).where("s is not null")
+    window = F.expr("substring(text, s.start + 1, least(400, s.stop - s.start))")
+    return rows.select("conv_id", window.alias("section"), X.definition(F.col("text"), "Fee 1", 150).alias("definition"))
+
+
+@query("SELECT o_orderkey, [o_orderdate::DATE::VARCHAR, (o_orderdate::DATE + 1)::VARCHAR, (o_orderdate::DATE + 2)::VARCHAR] AS dates FROM orders")
+def dates_in_text(t):
+    """All full dates of a text in their three written forms; an impossible one is left out."""
+    day = F.to_date("o_orderdate")
+    text = F.concat(F.lit("From "), F.date_format(day, "yyyy-MM-dd"), F.lit(" (not 2/30/2020) to "), F.date_format(F.date_add(day, 1), "MMMM d, yyyy"), F.lit("; due "), F.date_format(F.date_add(day, 2), "d MMM yyyy"), F.lit("."))
+    return t.orders.select("o_orderkey", udfs.dates_in(text).alias("dates"))
 
 
 @query(r"SELECT conv_id, turn, trim(regexp_replace('From: a@b.c' || chr(10) || 'Subject: s' || turn || chr(10) || text, '(?im)^(from|subject):[^\n]*\n', '', 'g'), ' ') AS body, 's' || turn AS subject FROM conversations")

@@ -58,7 +58,8 @@ def test_quote_is_found_through_marks_and_case():
 
 
 def test_html_text():
-    assert udfs.html_text("<head><title>t</title></head><p>a&amp;b <b>c</b></p><script>x</script><li>d") == "a&b c\nd"
+    assert udfs.html_text("<head><title>t</title></head><p>a&amp;b <b>c</b></p><script>x</script><li>d") == "t\na&b c\nd"
+    assert udfs.html_text("<html><head><meta name=a><p>open head<div>more") == "open head\nmore"
 
 
 def test_nfc(spark):
@@ -126,3 +127,46 @@ def test_jsonl_and_journal(spark, tmp_path):
 def test_manifest(spark, tmp_path):
     (tmp_path / "m").write_text("rows : 3\n# no\nname: a: b\n")
     assert {r.key: r.val for r in files.read_manifest(spark, str(tmp_path / "m")).collect()} == {"rows": "3", "name": "a: b"}
+
+
+def brute_locate(text, quote):
+    """Character by character: the plain text and each character's place."""
+    def plain(s):
+        out, gap = [], None
+        for k, c in enumerate(s):
+            if c in "*_#":
+                continue
+            if c.isspace():
+                gap = k if gap is None else gap
+                continue
+            if gap is not None and out:
+                out.append((" ", gap))
+            gap = None
+            out += [(x, k) for x in c.lower()]
+        return out
+
+    if quote and quote in text:
+        return text.find(quote), text.find(quote) + len(quote)
+    t, q = plain(text), "".join(c for c, _ in plain(quote))
+    k = "".join(c for c, _ in t).find(q) if q else -1
+    return None if k < 0 else (t[k][1], t[k + len(q) - 1][1] + 1)
+
+
+def test_quotes_are_found_where_brute_force_finds_them():
+    import random
+
+    rng = random.Random(2)
+    parts = ["a", "B", " ", "\n", "*", "_", "#", "İ", "c d", ">", "|", " ", "ab"]
+    for _ in range(4000):
+        text = "".join(rng.choices(parts, k=rng.randrange(25)))
+        quote = "".join(rng.choices(parts, k=rng.randrange(5)))
+        assert udfs.locate_quote(text, quote) == brute_locate(text, quote), (text, quote)
+    assert udfs.locate_quote("a | b > c", "a b c") is None
+
+
+def test_sections_skip_contents_and_short_entries():
+    body = "of this agreement " * 8
+    text = f"ARTICLE I Definitions\nSection 1.1 Terms 3\nSection 1.2 Fees .... 4\n{body}\nSection 1.1 Terms. {body}\n1.2 Fees\n{body} Section 1.3 Costs. short\nARTICLE II Rest\n{body}"
+    found = udfs.find_sections(text)
+    assert [(n, t, o) for n, t, _, _, o in found] == [("ARTICLE I", "Definitions", True), ("1.1", "Terms", True), ("1.2", "Fees", True), ("1.3", "Costs", False), ("ARTICLE II", "Rest", True)]
+    assert all(text[a:b].strip().startswith(("ARTICLE", "Section", "1.2")) for _, _, a, b, _ in found)
