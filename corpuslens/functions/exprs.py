@@ -114,6 +114,32 @@ def definition(text: Column, term: str, most: int) -> Column:
     return F.when(found != "", F.substring(found, 1, most))
 
 
+def clean_filer(c: Column, states: list[str], countries: list[str]) -> Column:
+    """A filer's name without its registry number, and without state codes and tickers at its end.
+
+    An upper-case word in parentheses is a ticker unless it is one of ``countries``.
+    """
+    bare = squeeze(F.regexp_replace(c, r"\s*\(CIK\s*\d+\)", ""))
+    tail = rf"(?:\s*/(?:{'|'.join(states)})/|\s*\((?!(?:{'|'.join(countries)})\))[A-Z][A-Z0-9.\-]{{0,9}}\))+$"
+    return F.coalesce(F.trim(F.regexp_replace(bare, tail, "")), F.lit(""))
+
+
+def relabel(own: Column, subject: Column, record_type: Column, cues: dict[str, str], types: dict[str, str]) -> Column:
+    """(subclass, record_type, changes): another subclass if its cue alone is in ``subject``.
+
+    If the row's own cue is there, or two others' are, it stays. The record type is filled
+    when it isn't a known one or the subclass has changed.
+    """
+    present = F.array_compact(F.array(*[F.when(subject.rlike("(?i)" + rx), F.lit(name)) for name, rx in sorted(cues.items())]))
+    moved = ~F.array_contains(present, own) & (F.size(present) == 1)
+    new = F.when(moved, F.get(present, F.lit(0))).otherwise(own)
+    known = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    fill = moved | ~F.coalesce(record_type.isin(list(types.values())), F.lit(False))
+    kind = F.when(fill, F.try_element_at(known, new)).otherwise(record_type)
+    changes = F.array_compact(F.array(F.when(moved, F.lit("subclass")), F.when(fill & ~kind.eqNullSafe(record_type), F.lit("record_type"))))
+    return F.struct(new.alias("subclass"), kind.alias("record_type"), changes.alias("changes"))
+
+
 def pseudonym(c: Column, names: list[str]) -> Column:
     number = F.conv(F.substring(F.sha2(c, 256), 1, 8), 16, 10).cast("long")
     return F.element_at(F.array(*map(F.lit, names)), (number % len(names) + 1).cast("int"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuslens.plans import composition, labels, relational, review, scalar  # noqa: F401
+from corpuslens.plans import composition, labels, relational, release, review, scalar  # noqa: F401
 from corpuslens.plans.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
