@@ -12,6 +12,15 @@ def survivors(df: DataFrame, digest: str, order: list[Column]) -> DataFrame:
     return first_by(df, [digest], order)
 
 
+def aligned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """A one-to-one join that raises an error at a key that is null, repeated or on one side only."""
+    side = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
+    n = side(left, "__l").join(side(right, "__r"), key, "full").select(F.coalesce(key).alias(key), "__l", "__r")
+    fault = F.when(F.col(key).isNull(), "null key").when(F.col("__l").isNull() | F.col("__r").isNull(), "key on one side only").when((F.col("__l") > 1) | (F.col("__r") > 1), "repeated key")
+    checked = n.where(F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(fault, F.lit(": "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast("boolean"))).select(key)
+    return checked.join(left, key).join(right, key)
+
+
 def duplicate_groups(df: DataFrame, digest: str, key: str, conflicts: list[str]) -> DataFrame:
     """Groups of equal content with how many values each of ``conflicts`` has among them."""
     out = df.groupBy(digest).agg(F.count("*").alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"), *[F.count_distinct(c).alias(f"{c}_values") for c in conflicts])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.sources.tables import checkpoint_folder
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row of each key, the first in ``order`` (the limit applies before the shuffle too)."""
@@ -24,18 +26,43 @@ def draw(df: DataFrame, stratum: list[str], key: str, quota: int, seed: str = ""
     return df.withColumn("draw_rank", rank).where(F.col("draw_rank") <= quota)
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with each row's place (from 0) in the global order, without gathering it.
+
+    Rows are sorted by range; the rows before each range are added up from one row a range.
+    """
+    checkpoint_folder(df.sparkSession)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("__id", 33).alias("__part")
+    sizes = rows.groupBy(part).agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    placed = rows.withColumn("__part", part).join(F.broadcast(before), "__part")  # one row a partition
+    return placed.withColumn(name, F.col("__before") + F.col("__id").bitwiseAND((1 << 33) - 1)).drop("__id", "__part", "__before")
+
+
+def ranked(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Places (from 0) within each group, so that no task sorts a whole group: global places less the group's first."""
+    rows = numbered(df, [*by, *order], name)
+    first = rows.groupBy(*by).agg(F.min(name).alias("__first"), F.count("*").alias("__size"))
+    return rows.join(first, by).withColumn(name, F.col(name) - F.col("__first")).drop("__first")
+
+
 def chunks(df: DataFrame, by: list[str], key: str, size: int) -> DataFrame:
     """Fixed-size chunks of each group in order of the key."""
-    at = F.row_number().over(Window.partitionBy(*by).orderBy(key)) - 1
-    return df.withColumn("chunk", F.floor(at / size).cast("int"))
+    return ranked(df, by, [key], "__at").withColumn("chunk", F.floor(F.col("__at") / size).cast("int")).drop("__at", "__size")
+
+
+def parts(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` slices of the rows in order of the key, each of the size rounded up."""
+    size = -(-df.count() // n)
+    return numbered(df, [key], "__at").withColumn("slice", F.floor(F.col("__at") / max(size, 1))).drop("__at")
 
 
 def interleave(df: DataFrame, group: str, key: str, every: int) -> DataFrame:
     """Groups taken in turn; after each ``every`` positions one is left free for a distractor."""
-    member = F.row_number().over(Window.partitionBy(group).orderBy(key))
-    turned = df.withColumn("turn", member)
-    at = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("turn", group))
-    return turned.withColumn("rn", at).withColumn("position", F.col("rn") + F.floor((F.col("rn") - 1) / every)).drop("rn")
+    turned = ranked(df, [group], [key], "__turn").withColumn("turn", (F.col("__turn") + 1).cast("int")).drop("__turn", "__size")
+    at = numbered(turned, ["turn", group], "__at")
+    return at.withColumn("position", F.col("__at") + 1 + F.floor(F.col("__at") / every)).drop("__at")
 
 
 def largest_remainder(df: DataFrame, name: str, weight: str, total: int) -> DataFrame:

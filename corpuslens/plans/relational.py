@@ -15,9 +15,10 @@ _NORMAL = r"trim(regexp_replace(text, '[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{2
 
 @query("SELECT o_orderkey, count(*) AS lines, count(*) FILTER (WHERE l_linenumber = 1) AS firsts FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")
 def aligned_join(t):
-    """One row per order from lines summed first, so the join is one to one."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"), F.count_if(F.col("l_linenumber") == 1).alias("firsts"))
-    return t.orders.select("o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+    """One row per order from lines summed first; a missing, null or repeated key is an error."""
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("lines"), F.count_if(F.col("l_linenumber") == 1).alias("firsts"))
+    orders = t.orders.select("o_orderkey").join(lines, "o_orderkey", "left_semi")  # orders without lines aren't aligned
+    return dedup.aligned(orders, lines, "o_orderkey")
 
 
 @query("SELECT d.doc_id, d.lang, l.quality, coalesce(l.toxic, -1) AS toxic FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -45,12 +46,13 @@ def anti_join(t):
     return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query("SELECT count(*) AS joined, count(*) FILTER (WHERE n_chars = length(text)) AS same_length, count(*) FILTER (WHERE lang = lower(lang)) AS same_lang FROM documents")
+@query("SELECT count(*) AS joined, count(*) FILTER (WHERE l.n = o.n) AS same_lines, count(*) FILTER (WHERE abs(l.total - o.o_totalprice) < 1) AS same_total FROM (SELECT o_orderkey, o_totalprice, o_orderkey % 7 AS n FROM orders WHERE o_orderkey % 5 <> 0) o JOIN (SELECT l_orderkey, count(*) AS n, sum(l_extendedprice::DECIMAL(18, 2)) AS total FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey")
 def parity_audit(t):
-    a = t.documents.select("doc_id", "n_chars", "lang")
-    b = t.documents.select("doc_id", F.length("text").cast("long").alias("n2"), F.lower("lang").alias("l2"))
-    both = a.join(b, "doc_id")
-    return both.agg(F.count("*").alias("joined"), F.count_if(F.col("n_chars").eqNullSafe(F.col("n2"))).alias("same_length"), F.count_if(F.col("lang").eqNullSafe(F.col("l2"))).alias("same_lang"))
+    """Orders against facts recomputed from their lines, over the keys that both sides have."""
+    a = t.orders.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k"), "o_totalprice", (F.col("o_orderkey") % 7).alias("n"))
+    b = t.lineitem.groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("m"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("total"))
+    both = a.join(b, "k")
+    return both.agg(F.count("*").alias("joined"), F.count_if(F.col("n") == F.col("m")).alias("same_lines"), F.count_if(F.abs(F.col("total") - F.col("o_totalprice")) < 1).alias("same_total"))
 
 
 _PAIRS = "(SELECT DISTINCT user_id AS a, ((user_id * 7 + 3) % 50)::BIGINT AS b FROM events)"
@@ -195,15 +197,22 @@ def chunk_plan(t):
     return ordering.chunks(t.documents.select("doc_id", "source"), ["source"], "doc_id", 8)
 
 
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // ((count(*) OVER () + 6) // 7) AS slice FROM documents")
+def slice_plan(t):
+    """Seven slices of equal size in order of doc_id, the last one perhaps smaller."""
+    return ordering.parts(t.documents.select("doc_id"), "doc_id", 7)
+
+
 @query("WITH m AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INTEGER AS t2 FROM conversations), r AS (SELECT *, row_number() OVER (ORDER BY t2, conv_id) AS rn FROM m) SELECT conv_id, turn, t2 AS place, (rn + (rn - 1) // 5)::BIGINT AS position FROM r")
 def round_robin_interleave(t):
     out = ordering.interleave(t.conversations.select("conv_id", F.col("turn").alias("key")), "conv_id", "key", 5)
     return out.select("conv_id", F.col("key").alias("turn"), F.col("turn").alias("place"), "position")
 
 
-@query("SELECT p_partkey, p_brand FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part) ORDER BY rn, p_brand LIMIT 30")
+@query("SELECT p_partkey, p_brand FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY sha256('r1' || p_partkey), p_partkey) AS rn FROM part) ORDER BY rn, p_brand LIMIT 30")
 def round_robin_pick(t):
-    rank = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    """One of each stratum in turn after a seeded shuffle, until 30 are picked."""
+    rank = F.row_number().over(Window.partitionBy("p_brand").orderBy(F.sha2(F.concat(F.lit("r1"), F.col("p_partkey").cast("string")), 256), "p_partkey"))
     return t.part.select("p_partkey", "p_brand", rank.alias("rn")).orderBy("rn", "p_brand").limit(30).drop("rn")
 
 
@@ -217,20 +226,9 @@ SELECT p, a, min(root) AS root FROM r GROUP BY ALL""")
 def reply_components(t):
     rows = t.events.where("event_id % 7 <> 0")
     edges = rows.select(F.col("event_type").alias("p"), F.col("event_id").alias("a"), (F.col("event_id") - F.col("event_id") % 7).alias("b"))
-    _checkpoint_folder(t.spark)
     return grouping.reply_components(edges, ["p"])
 
 
-def _checkpoint_folder(spark) -> None:
-    """The cluster's shared folder, or a temporary one where none is set and Spark is local."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslens-"))
-
-
 @query("WITH a AS (SELECT p_partkey FROM part ORDER BY sha256('b1' || p_partkey::VARCHAR), p_partkey LIMIT 5) SELECT p_partkey, t.role, p_partkey || '-' || t.role AS member FROM a, (VALUES ('cover'), ('body'), ('annex')) t(role)")
 def bundle_expand(t):
     anchors = t.part.select("p_partkey").orderBy(F.sha2(F.concat(F.lit("b1"), F.col("p_partkey").cast("string")), 256), "p_partkey").limit(5)
@@ -262,6 +260,18 @@ def conformance_gates(t):
     return out
 
 
-@query("SELECT count(*) AS checked, count(*) FILTER (WHERE NOT contains(text, substr(text, 5, 50))) AS missing FROM documents")
+@query("""WITH c AS (SELECT DISTINCT item_id FROM benchmark b, documents d WHERE contains(d.text, b.text)) SELECT count(*) AS checked, count(*) FILTER (WHERE item_id NOT IN (FROM c)) AS missing FROM benchmark""")
 def verbatim_check(t):
-    return t.documents.agg(F.count("*").alias("checked"), F.count_if(~F.col("text").contains(F.substring("text", 5, 50))).alias("missing"))
+    """Excerpts that must stand word for word in some document, and how many don't.
+
+    A document is reduced to the hashes of its runs of eight words; an excerpt meets those
+    that have its own rarest run by key, and only these texts are searched.
+    """
+    run = "transform(array(split({0}, ' ')), w -> transform(sequence(0, greatest(size(w) - 8, 0)), i -> xxhash64(array_join(slice(w, i + 1, 8), ' '))))[0]"
+    inner = "transform(array(split(text, ' ')), w -> xxhash64(array_join(slice(w, 2, 8), ' ')))[0]"
+    items = t.benchmark.select("item_id", F.col("text").alias("x"), F.expr(inner).alias("key"))
+    keys = items.select("key").distinct()
+    docs = t.documents.select("doc_id", "text")
+    near = docs.select("doc_id", F.explode(F.array_distinct(F.expr(run.format("text")))).alias("key")).join(keys, "key", "left_semi")
+    found = near.join(items, "key").join(docs, "doc_id").where(F.col("text").contains(F.col("x"))).select("item_id").distinct().withColumn("has", F.lit(1))
+    return t.benchmark.select("item_id").join(found, "item_id", "left").agg(F.count("*").alias("checked"), F.count_if(F.col("has").isNull()).alias("missing"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import exprs as X
 from corpuslens.functions import udfs
+from corpuslens.operators.release import is_label_key
 from corpuslens.plans.base import query
 from corpuslens.sources.files import expand_json, safe_line
 
@@ -227,15 +228,24 @@ def dates_in_text(t):
     return t.orders.select("o_orderkey", udfs.dates_in(text).alias("dates"))
 
 
-@query(r"SELECT conv_id, turn, trim(regexp_replace('From: a@b.c' || chr(10) || 'Subject: s' || turn || chr(10) || text, '(?im)^(from|subject):[^\n]*\n', '', 'g'), ' ') AS body, 's' || turn AS subject FROM conversations")
+@query(r"""WITH m AS (SELECT conv_id, string_agg(CASE WHEN turn = 0 THEN 'From: ' || role || '@x.org' || chr(10) || 'Subject:  Re: item ' || conv_id || chr(10) WHEN role = 'user' THEN 'To: ' || turn || chr(10) ELSE '' END || text, chr(10) ORDER BY turn) AS mail,
+  string_agg(text, chr(10) ORDER BY turn) AS body FROM conversations GROUP BY conv_id)
+SELECT conv_id, trim(body) AS body, sha256(trim(body)) AS body_sha, CASE WHEN contains(mail, 'Subject:') THEN 'Re: item ' || conv_id ELSE '' END AS subject FROM m""")
 def email_headers(t):
-    mail = F.concat(F.lit("From: a@b.c\nSubject: s"), F.col("turn").cast("string"), F.lit("\n"), "text")
-    return t.conversations.select("conv_id", "turn", X.strip_headers(mail).alias("body"), F.regexp_extract(mail, r"(?im)^subject:\s*(.*)$", 1).alias("subject"))
+    """A mail's body without header lines, its hash, and the first subject."""
+    head = F.when(F.col("turn") == 0, F.concat(F.lit("From: "), "role", F.lit("@x.org\nSubject:  Re: item "), F.col("conv_id").cast("string"), F.lit("\n"))).when(F.col("role") == "user", F.concat(F.lit("To: "), F.col("turn").cast("string"), F.lit("\n"))).otherwise("")
+    parts = F.array_sort(F.collect_list(F.struct("turn", F.concat(head, "text").alias("x"))))
+    mails = t.conversations.groupBy("conv_id").agg(F.array_join(parts["x"], "\n").alias("mail"))
+    rows = mails.select("conv_id", X.strip_headers(F.col("mail")).alias("body"), F.regexp_extract("mail", r"(?im)^subject:[ \t]*(.*)$", 1).alias("subject"))
+    return rows.withColumn("body_sha", F.sha2("body", 256))
 
 
-@query("SELECT p_partkey, CASE p_brand WHEN 'Brand#11' THEN 'first' ELSE CASE split_part(p_brand, '#', 1) WHEN 'Brand' THEN 'other' ELSE 'other' END END AS family FROM part")
+@query("""SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'O' THEN 'rush' WHEN o_orderpriority = '1-URGENT' THEN 'urgent' WHEN o_orderpriority = '3-MEDIUM' THEN 'normal' ELSE 'other' END AS family FROM orders""")
 def crosswalk(t):
-    return t.part.select("p_partkey", X.crosswalk(F.col("p_brand"), {"Brand#11": "first"}, "other").alias("family"))
+    """An external label by itself, else by what is before its slash, else the rest."""
+    label = F.concat_ws(" / ", "o_orderpriority", "o_orderstatus")
+    table = {"1-URGENT / O": "rush", "2-HIGH / O": "rush", "1-URGENT": "urgent", "3-MEDIUM": "normal"}
+    return t.orders.select("o_orderkey", X.crosswalk(label, table, "other").alias("family"))
 
 
 @query("SELECT c_custkey, CASE WHEN lower(trim(v)) IN ('nan', 'none', 'null') THEN '' ELSE v END AS v FROM (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'NaN' WHEN c_custkey % 7 = 1 THEN ' null' ELSE c_name END AS v FROM customer)")
@@ -264,8 +274,17 @@ def request_key(t):
     return t.events.select("event_id", F.sha2(F.concat_ws("\n", "event_type", "props"), 256).alias("input_sha"))
 
 
-@query("SELECT doc_id, list_sort(list_filter(['lang', 'quality', 'toxic'], lambda k: k NOT IN ('quality', 'toxic'))) AS blind_keys FROM documents")
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ['lang', 'origin'] ELSE ['lang'] END AS blind_keys,
+  list_sort(list_filter([CASE WHEN quality IS NOT NULL THEN 'Quality=' || quality END, CASE WHEN quality IS NOT NULL THEN 'gt_toxic=' || toxic END, CASE WHEN doc_id % 3 = 1 THEN 'expected_kind=' || lang END, CASE WHEN doc_id % 3 = 2 THEN 'my_label_note=' || source END], lambda x: x IS NOT NULL)) AS moved
+FROM documents LEFT JOIN labels USING (doc_id)""")
 def strip_labels(t):
-    """Label keys leave the metadata map of a blind row."""
-    meta = F.create_map(F.lit("lang"), F.col("lang"), F.lit("quality"), F.lit("1"), F.lit("toxic"), F.lit("0"))
-    return t.documents.select("doc_id", F.array_sort(F.map_keys(F.map_filter(meta, lambda k, v: ~k.isin("quality", "toxic")))).alias("blind_keys"))
+    """Label-shaped keys leave a blind row's metadata for the labels' side; other keys stay."""
+    k = F.col("doc_id") % 3
+    pair = lambda key, value: F.struct(F.lit(key).alias("key"), F.col(value).cast("string").alias("value"))
+    third = F.when(k == 0, pair("origin", "source")).when(k == 1, pair("expected_kind", "lang")).otherwise(pair("my_label_note", "source"))
+    labels = F.when(F.col("quality").isNotNull(), F.array(pair("Quality", "quality"), pair("gt_toxic", "toxic"))).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
+    meta = F.map_from_entries(F.concat(F.array(pair("lang", "lang"), third), labels))
+    rows = t.documents.join(t.labels, "doc_id", "left").select("doc_id", meta.alias("m"))
+    leaks = lambda k, v: is_label_key(k, ["quality", "toxic"])
+    moved = F.transform(F.map_entries(F.map_filter("m", leaks)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("doc_id", F.array_sort(F.map_keys(F.map_filter("m", lambda k, v: ~leaks(k, v)))).alias("blind_keys"), F.array_sort(moved).alias("moved"))

@@ -7,6 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """The cluster's shared folder, or a temporary one where none is set and Spark is local."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslens-"))
+
+
 @dataclass(frozen=True)
 class Tables:
     spark: SparkSession

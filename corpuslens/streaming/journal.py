@@ -18,12 +18,17 @@ def keep_latest(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
     """Maintain the latest record of each key, one folder for each batch.
 
     A batch is folded into the state before it and written under its own number, so a batch
-    that is run again writes the same folder and the result is exactly once.
+    that is run again writes the same folder and the result is exactly once. Records of one
+    key with the same ``order`` are told apart by a hash of all their columns, so the
+    result doesn't depend on arrival. States older than the one before are removed.
     """
     spark = stream.sparkSession
 
     def fold(batch: DataFrame, number: int) -> None:
         rows = batch if number == 0 else batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}"))
-        first_by(rows, keys, [F.desc(order)]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        best = first_by(rows, keys, [F.desc(order), F.xxhash64(*rows.columns).asc()])
+        best.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={number - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

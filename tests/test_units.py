@@ -170,3 +170,63 @@ def test_sections_skip_contents_and_short_entries():
     found = udfs.find_sections(text)
     assert [(n, t, o) for n, t, _, _, o in found] == [("ARTICLE I", "Definitions", True), ("1.1", "Terms", True), ("1.2", "Fees", True), ("1.3", "Costs", False), ("ARTICLE II", "Rest", True)]
     assert all(text[a:b].strip().startswith(("ARTICLE", "Section", "1.2")) for _, _, a, b, _ in found)
+
+
+def test_sources_pin_rewrite_and_list(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", [1, 2]), (2, "=b", [])], "k long, v string, l array<int>")
+    files.write_csv(df, f"{tmp_path}/csv")
+    assert sorted((r.v, r.l) for r in files.read_csv(spark, f"{tmp_path}/csv", df.columns).collect()) == [("=b", "[]"), ("a", "[1,2]")]
+    files.write_pinned(df, f"{tmp_path}/p", "k long, v string, l array<int>", "default", "train")
+    with pytest.raises(ValueError):
+        files.write_pinned(df, f"{tmp_path}/p", "k int, v string, l array<int>", "default", "train")
+    back = files.rewrite_column(df, f"{tmp_path}/r", "v", F.upper("v"))
+    assert sorted(r.v for r in back.collect()) == ["=B", "A"]
+    (tmp_path / "m.txt").write_text("name : x\nnote: first\n   and second\n" + "a" * 64 + "  data/f 1.bin\n")
+    assert {(r.key, r.val) for r in files.read_manifest(spark, f"file://{tmp_path}/m.txt").collect()} == {("name", "x"), ("note", "first and second")}
+    assert [tuple(r) for r in files.manifest_hashes(spark, f"file://{tmp_path}/m.txt").collect()] == [("data/f 1.bin", "a" * 64)]
+    (tmp_path / "d").mkdir()
+    for n, t in (("a", "x"), ("b", "x"), ("c", "y")):
+        (tmp_path / "d" / n).write_text(t)
+    assert [(r.files, r.bytes) for r in files.identical_files(files.file_hashes(spark, f"file://{tmp_path}/d")).collect()] == [(2, 1)]
+    (tmp_path / "j.jsonl").write_text('{"a": 1}\n{"a": 2}\n')
+    assert files.preview(files.read_jsonl(spark, f"file://{tmp_path}/j.jsonl", "a int"), 1).count() == 1
+
+
+def test_sorted_files_do_not_depend_on_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FILE_ROWS", 30)
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("m"))
+    hashes = []
+    for n in (1, 5):
+        files.write_sorted(df.repartition(n), f"{tmp_path}/s{n}", ["id"])
+        found = files.file_hashes(spark, f"file://{tmp_path}/s{n}").where("path like '%.parquet'").collect()
+        hashes.append(sorted((r.path.split("__file=")[1].split("/")[0], r.sha256) for r in found))
+    assert len(hashes[0]) == 4 and hashes[0] == hashes[1]
+
+
+def test_numbers_and_ranks_of_a_hot_group(spark):
+    df = spark.createDataFrame([("a" if k % 10 else "b", k * 37 % 1000) for k in range(1000)], "g string, k long").repartition(7)
+    got = {(r.g, r.k): r.at for r in ordering.ranked(df, ["g"], ["k"], "at").collect()}
+    for g in "ab":
+        own = sorted(k for x, k in got if x == g)
+        assert [got[g, k] for k in own] == list(range(len(own)))
+    assert sorted(r.slice for r in ordering.parts(df, "k", 3).collect()) == [0] * 334 + [1] * 334 + [2] * 332
+
+
+def test_percentiles_equal_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows = [("a", float(v)) for v in rng.integers(0, 9, 500)] + [("b", float(v)) for v in rng.lognormal(3, 2, 400)] + [("c", 5.0), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.x, r.y) for r in stats.percentiles(df, "v", ["g"], {"x": 0.5, "y": 0.97}).collect()}
+    for g in "abc":
+        assert np.allclose(got[g], np.quantile([v for x, v in rows if x == g], [0.5, 0.97]))
+    assert "d" not in got
+
+
+@pytest.mark.parametrize("right", [[(1,), (2,), (2,)], [(1,)], [(1,), (2,), (3,)], [(1,), (None,)]])
+def test_alignment_raises(spark, right):
+    left = spark.createDataFrame([(1,), (2,)], "k long")
+    with pytest.raises(Exception, match="key"):
+        dedup.aligned(left, spark.createDataFrame(right, "k long"), "k").collect()
+    assert dedup.aligned(left, left.select("k", F.lit(1).alias("x")), "k").count() == 2
