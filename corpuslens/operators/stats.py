@@ -8,22 +8,19 @@ from pyspark.sql import functions as F
 LEVELS = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
-BINS = 1024
-
-
 def percentiles(df: DataFrame, value: str, by: list[str], levels: dict[str, float]) -> DataFrame:
     """Exact linear percentiles by group, a column for each of ``levels``; nulls are left out.
 
-    Values are counted (with map-side partials) and put in bins of their group's range.
-    Ranks come from the bins' sums and from windows inside a bin, so no task holds a group.
+    Values are counted (with map-side partials) and put in bins by their logarithm, about
+    1% wide, which rise with the values. Ranks come from the bins' sums and from windows
+    inside a bin, so no task holds a group.
     """
     keys = [*by, "__all"]
     counts = df.where(F.col(value).isNotNull()).withColumn("__all", F.lit(0)).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    span = counts.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    bin_ = F.floor(BINS * (F.col("v") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-300)))
-    binned = counts.join(span, keys).withColumn("bin", F.coalesce(bin_, F.lit(0)))
+    binned = counts.withColumn("bin", (F.signum("v") * F.floor(64 * F.log2(1 + F.abs("v")))).cast("int"))
     sums = binned.groupBy(*keys, "bin").agg(F.sum("c").alias("b"))
-    before = sums.select(*keys, "bin", (F.sum("b").over(Window.partitionBy(*keys).orderBy("bin")) - F.col("b")).alias("before"))
+    group = Window.partitionBy(*keys)
+    before = sums.select(*keys, "bin", (F.sum("b").over(group.orderBy("bin")) - F.col("b")).alias("before"), F.sum("b").over(group).alias("n"))
     own = F.sum("c").over(Window.partitionBy(*keys, "bin").orderBy("v"))
     ranks = binned.withColumn("upto", own).join(before, [*keys, "bin"]).withColumn("upto", F.col("upto") + F.col("before"))
     at = lambda k: F.max(F.when((F.col("upto") - F.col("c") <= k) & (k < F.col("upto")), F.col("v")))

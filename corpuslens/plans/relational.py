@@ -93,14 +93,22 @@ def evidence_containment(t):
     words = F.split(F.col("n"), " ")
     items = t.benchmark.select("item_id", F.trim(F.substring(normal, 1, 200)).alias("x")).where("length(x) >= 40").withColumn("n", F.col("x"))
     longest = F.expr(f"get({_RUNS.format(words='filter(w, x -> length(x) = array_max(transform(w, y -> length(y))))')}, 0)")
-    pair = F.when(F.size("w") >= 4, F.xxhash64(F.get("w", F.lit(1)), F.get("w", F.lit(2)))).otherwise(longest)
-    items = items.select("item_id", "x", words.alias("w")).select("item_id", "x", pair.alias("pair"))
-    keys = items.select("pair").distinct()
+    items = items.select("item_id", "x", words.alias("w"))
     docs = t.documents.select("doc_id", normal.alias("n"))
-    pairs = F.expr(f"array_distinct(concat(transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(w[i - 1], get(w, i))), {_RUNS.format(words='w')}))")
-    placed = docs.select("doc_id", words.alias("w")).select("doc_id", F.explode(pairs).alias("pair")).join(keys, "pair", "left_semi")
-    near = placed.join(items, "pair").select("doc_id", "item_id", "x")
-    return near.join(docs, "doc_id").where(F.col("n").contains(F.col("x"))).select("item_id", "doc_id")
+    split = docs.select("doc_id", words.alias("w"))
+
+    def near(some, key, keys):
+        """Documents and items that share a key."""
+        some = some.select("item_id", "x", key.alias("key"))
+        placed = split.select("doc_id", F.explode(F.array_distinct(F.expr(keys))).alias("key")).join(some.select("key").distinct(), "key", "left_semi")
+        return placed.join(some, "key").select("doc_id", "item_id", "x")
+
+    pairs = "transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(w[i - 1], get(w, i)))"
+    found = near(items.where("size(w) >= 4"), F.xxhash64(F.get("w", F.lit(1)), F.get("w", F.lit(2))), pairs)
+    few = items.where("size(w) < 4")
+    if not few.isEmpty():  # only then are the characters of long words looked at
+        found = found.unionByName(near(few, longest, _RUNS.format(words="w")))
+    return found.join(docs, "doc_id").where(F.col("n").contains(F.col("x"))).select("item_id", "doc_id")
 
 
 @query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
