@@ -109,7 +109,7 @@ def signatures(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of ``batch`` of about ``limit`` bytes of text, so that memory stays bounded."""
     _, offsets = text_buffers(batch.column(text))
     a = 0
@@ -118,3 +118,4 @@ def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[p
         b = min(b, batch.num_rows)
         yield batch.slice(a, b - a)
         a = b
+    pa.default_memory_pool().release_unused()  # workers are used again, by other stages too

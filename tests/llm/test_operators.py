@@ -570,7 +570,7 @@ def test_op1_hot_shingles_are_dealt_by_class(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOT_LEAST", 4)
     work = Workspace(spark, "t")
     hot, counts = ngram_join.hot_shingles(ngram_join.shingle_classes(df, work), len(made))
-    assert len(hot) >= 26 and counts.max() == len(made)
+    assert len(hot) >= 26 and len(set(made.values())) <= counts.max() <= len(made)  # copies count once a slice
     for least in (4, 2_000):
         monkeypatch.setattr(ngram_join, "HOT_LEAST", least)
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, range_shingles=500).collect()} == want
