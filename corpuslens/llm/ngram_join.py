@@ -91,7 +91,8 @@ def _set_rows(width: int):
                 ends, hashes = shingle_sets(part.column(1), width)
                 sizes, sigs = np.diff(ends, prepend=0), signatures(ends, hashes)
                 often = [_frequent(ends, hashes, sigs), *[None] * (len(sizes) - 1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), pa.array(_sig_strings(sigs), pa.binary()), pa.array(often, pa.binary())], ["doc_id", "n_shingles", "sig", "often"])
+                found = [pa.array(sizes), pa.array(_sig_strings(sigs), pa.binary()), pa.array(often, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *found, part.column(2)], ["doc_id", "n_shingles", "sig", "often", "digest"])
 
     return rows
 
@@ -125,8 +126,6 @@ def _place(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
     at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
     return np.where(hot[at] == hashes, at, -1)
 
-    return rows
-
 
 def _packed(keys: np.ndarray, sigs: np.ndarray, sizes: np.ndarray, owner: np.ndarray, tokens: np.ndarray) -> Iterator[tuple]:
     """Rows of ``_RUNS``: for each key, the runs of tokens of one owner.
@@ -328,10 +327,11 @@ class _Linker:
         self.links = links if self.links is None else self.links.unionByName(links)
 
 
-def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH) -> DataFrame:
-    """``(doc_id, n_shingles, sig)`` of every row; the signature of an empty set is 0."""
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return work.write(text.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, sig binary, often binary"), "classes")
+def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH, digest: Column | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, sig, digest)`` of every row; the signature of an empty set is 0."""
+    digest = F.lit(None) if digest is None else digest
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), digest.cast("binary").alias("digest"))
+    return work.write(text.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, sig binary, often binary, digest binary"), "classes")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> tuple[DataFrame, DataFrame]:
@@ -367,6 +367,12 @@ def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold:
     return linker.links, sets
 
 
+def _rooted(least: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """``least(sig, least)`` with ``root``, the component of each class."""
+    roots = components(links, work, "components-final").withColumnRenamed("node", "sig")
+    return work.write(least.join(roots, "sig", "left").select("sig", "least", F.coalesce("root", "sig").alias("root")), "rooted")
+
+
 def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs(doc_id, text)``.
 
@@ -380,9 +386,7 @@ def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = W
     work = Workspace(docs.sparkSession, "ngram-join")
     classes = shingle_classes(docs, work, width)
     links, _ = class_links(docs, classes, work, threshold, width, range_shingles)
-    roots = components(links, work, "components-final")
-    least = classes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    rooted = work.write(least.join(roots.withColumnRenamed("node", "sig"), "sig", "left").select("sig", "least", F.coalesce("root", "sig").alias("root")), "rooted")
+    rooted = _rooted(classes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least")), links, work)
     ids = work.write(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root-ids")
     ids = work.write(rooted.join(ids, "root").select("sig", "component_id"), "component-ids")
     some = classes.where("n_shingles > 0").join(ids, "sig").select("doc_id", "n_shingles", "component_id")
@@ -390,13 +394,20 @@ def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = W
 
 
 def drop_near_copies(docs: DataFrame, threshold: int = THRESHOLD, width: int = WIDTH) -> DataFrame:
-    """``docs`` with one document of each component, the one that names it, and all columns.
+    """``docs`` with one row of each component and all columns.
 
-    Rows that repeat this doc_id are one document and give one row. A row without a
-    doc_id has no name to drop it by and stays.
+    The row with the least doc_id stays; a null one comes after all others, and rows that
+    share a doc_id are told apart by a digest of their texts. Of rows with the same
+    doc_id and text one stays. Rows without words (null and empty texts too) are linked
+    with nothing and all stay. An empty table gives no rows.
     """
     work = Workspace(docs.sparkSession, "ngram-join-stage")
-    found = work.write(ngram_components(docs, threshold, width), "components")
-    keepers = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("repeats"))
-    kept = stay(docs, work.write(keepers, "keepers"), {"doc_id": F.col("doc_id")})
-    return kept.unionByName(docs.where("doc_id is null"))
+    key = {"doc_id": F.col("doc_id").cast("long"), "digest": F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))}
+    classes = shingle_classes(docs, work, width, key["digest"])
+    links, _ = class_links(docs, classes, work, threshold, width)
+    rows = classes.where("n_shingles > 0").groupBy("sig", "doc_id", "digest").agg(F.count("*").alias("repeats"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "repeats")).alias("least")
+    rooted = _rooted(rows.groupBy("sig").agg(first), links, work)
+    keepers = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.digest", "least.repeats")
+    wordless = classes.where("n_shingles = 0").select("doc_id", "digest", F.lit(1).cast("long").alias("repeats"))  # so that none is dropped as a repeat
+    return stay(docs, work.write(keepers.unionByName(wordless), "keepers"), key)

@@ -42,7 +42,7 @@ def odd_docs(spark):
     return spark.createDataFrame(values, "doc_id long, text string, lang string, source string, n_chars long").withColumn("rank", F.lit(2)).withColumn("sig", F.lit("x"))
 
 
-@pytest.mark.parametrize(("name", "kept"), [("language_id", [-1, 4, 5, 6, 6]), ("exact_dedup", [-1, 2, 3, 5, 6, 6]), ("near_dedup", [-1, 1, 2, 3, 4, 6])])
+@pytest.mark.parametrize(("name", "kept"), [("language_id", [-1, 4, 5, 6, 6]), ("exact_dedup", [-1, 2, 3, 5, 6, 6]), ("near_dedup", [-1, 1, 2, 3, 4, 6, 6])])
 def test_stages_on_odd_rows(spark, name, kept):
     odd = odd_docs(spark)
     stage = dict(corpus_pipeline.STAGES)[name]
@@ -51,6 +51,21 @@ def test_stages_on_odd_rows(spark, name, kept):
     assert stage(spark, odd.limit(0), SF).count() == 0
 
 
+def test_near_dedup_of_repeated_and_null_ids_equals_brute_force(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words), " ".join([*words, "more"]), " ".join(reversed(words)), " ".join([*reversed(words), "more"])]
+    values = [(7, near[0]), (7, near[2]), (3, near[1]), (None, near[3]), (None, near[3]), (None, "a text of its own without an id"), (7, near[0]), (8, ""), (8, ""), (None, None), (9, " \t "), (2, None)]
+    docs = spark.createDataFrame(values, "doc_id long, text string").withColumn("digest", F.lit("x")).withColumn("repeats", F.lit(5)).withColumn("unnamed", F.lit(True))
+    found = brute_components(word_sets({k: t or "" for k, (_, t) in enumerate(values)}))
+    want = [values[k] for k, (n, _) in found.items() if not n]
+    for c in {c for n, c in found.values() if n}:
+        members = {values[k] for k, (n, own) in found.items() if n and own == c}
+        want.append(min(members, key=lambda v: (v[0] is None, v[0] or 0)))
+    out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_mixing_and_packing_on_odd_rows(spark):
     odd, stages = odd_docs(spark), dict(corpus_pipeline.STAGES)
     mixed = stages["source_mixing"](spark, odd, SF)
