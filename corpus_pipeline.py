@@ -39,9 +39,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the n-gram Jaccard join, the one with the least doc_id.
 
-    Texts without words are linked with nothing and stay. A null doc_id comes after all
-    others. Of rows that share the least doc_id of a component one stays. An empty table
-    stays empty; all columns are kept.
+    Rows without words are linked with nothing and all stay. A null doc_id comes after all
+    others. Rows that share a doc_id are documents of their own; of those with the same
+    doc_id and text one stays. An empty table stays empty; all columns are kept.
     """
     return drop_near_copies(docs)
 
