@@ -116,3 +116,23 @@ def label_audit(rows: DataFrame, most: int) -> DataFrame:
     kinds = tasks.agg(F.count("*").cast("double").alias("value")).select(F.lit("distinct_tasks").alias("fact"), F.lit("").alias("key"), "value")
     top = tasks.orderBy(F.desc("value"), "key").limit(most).select(F.lit("task").alias("fact"), "key", "value")
     return facts.unionByName(kinds).unionByName(top)
+
+
+def config_audit(blind: DataFrame, truth: DataFrame) -> DataFrame:
+    """``(fact, value)`` of two tables that are to have the same names, splits and kinds.
+
+    Both have name, split, kind. Facts are rows and distinct names of each, names that one
+    side lacks, names whose splits differ, split_rule mismatches of each, names with a kind
+    in ``blind``, and how many of these kinds agree when folded. Sides meet once, by name.
+    """
+    fold = lambda c: F.lower(F.trim(c))
+    side = lambda df, tag: df.groupBy("name").agg(F.count("*").alias(f"{tag}_n"), F.min("split").alias(f"{tag}_split"), F.min("kind").alias(f"{tag}_kind"), F.count_if(F.col("split") != X.split_of(F.col("name"))).alias(f"{tag}_moved"))
+    both = side(blind, "blind").join(side(truth, "truth"), "name", "full")
+    has = X.is_populated(F.col("blind_kind")) & F.col("truth_n").isNotNull()
+    facts = {
+        "blind_rows": F.sum("blind_n"), "truth_rows": F.sum("truth_n"), "blind_names": F.count("blind_n"), "truth_names": F.count("truth_n"),
+        "only_blind": F.count_if(F.col("truth_n").isNull()), "only_truth": F.count_if(F.col("blind_n").isNull()), "splits_differ": F.count_if(F.col("blind_split") != F.col("truth_split")),
+        "blind_rule_mismatches": F.sum("blind_moved"), "truth_rule_mismatches": F.sum("truth_moved"), "kinds_filled": F.count_if(has), "kinds_agree": F.count_if(has & (fold(F.col("blind_kind")) == fold(F.col("truth_kind")))),
+    }
+    one = both.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(k) for k, c in facts.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("fact"), F.col(k).alias("value")) for k in facts])).alias("x")).select("x.*")

@@ -169,3 +169,34 @@ def precedence(rows: DataFrame, header: str, subject: str, family: str) -> DataF
     grp = F.coalesce(F.col(header), F.col(subject), F.col(family))
     checked = F.when(F.coalesce(broken, F.lit(False)), F.raise_error(F.concat(F.lit("header thread of two custodians: "), F.col(header))).cast("string")).otherwise(grp)
     return both.withColumn("group_kind", kind).withColumn("group_id", checked).drop("__owners")
+
+
+def review_states(records: DataFrame, journal: DataFrame, backups: DataFrame) -> DataFrame:
+    """The review state of each of ``records(doc_id, field, target_sha)``.
+
+    ``journal`` has doc_id, field, event_id, target_sha, decision, confirmed, blocker; the
+    latest event of a field counts while the field's target is what the event saw. After
+    that the field is awaiting review and the event is stale. A confirmed one is
+    checkpointed once its event_id is in ``backups``; an accepted or corrected one with a
+    blocker needs a schema; any other asks for changes.
+    """
+    last = first_by(journal, ["doc_id", "field"], [F.desc("event_id")]).withColumnRenamed("target_sha", "__seen")
+    saved = backups.select(F.col("event_id").alias("__saved")).distinct()
+    both = records.join(last, ["doc_id", "field"], "left").join(saved, F.col("event_id") == F.col("__saved"), "left")
+    had = F.col("event_id").isNotNull()
+    valid = had & F.col("target_sha").eqNullSafe(F.col("__seen"))
+    needs = (F.coalesce("blocker", F.lit("")) != "") & F.col("decision").isin("ACCEPT", "CORRECT")
+    confirmed = F.when(F.col("__saved").isNotNull(), "checkpointed").otherwise("human_confirmed")
+    status = F.when(~valid, "awaiting_review").when(F.col("confirmed"), confirmed).when(needs, "reviewed_needs_schema").otherwise("changes_requested")
+    return both.select("doc_id", "field", status.alias("status"), F.when(valid, F.col("decision")).otherwise("NOT_REVIEWED").alias("decision"), (had & ~valid).alias("stale"))
+
+
+def reusable(wanted: DataFrame, journal: DataFrame, keys: list[str]) -> DataFrame:
+    """The first journal record without an error for each wanted key that has none of its own yet.
+
+    ``wanted`` has ``keys`` (everything that makes a configuration, the input's hash among
+    it); ``journal`` has them too, and event_id, error, and own (whether it is this run's).
+    """
+    fine = journal.where("not error")
+    todo = wanted.join(fine.where("own").select(*keys), keys, "left_anti")
+    return fine.where("not own").join(todo, keys, "left_semi").groupBy(*keys).agg(F.min("event_id").alias("event_id"))
