@@ -176,3 +176,56 @@ def mentioned(text: Column, word: str) -> Column:
     every = F.size(F.regexp_extract_all(low, F.lit(rf"(?U)\b{word}\b"), F.lit(0)))
     negated = F.size(F.regexp_extract_all(low, F.lit(rf"(?U)\b(?:no|not|without)\s+(?:[a-z]+\s+){{0,2}}{word}\b"), F.lit(0)))
     return every > negated
+
+
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+
+
+def _comparable(kind: Column, c: Column) -> Column:
+    """A scalar cell in a form that is equal for equal values of its kind; null for none."""
+    name = F.array_join(_words(c), " ")
+    out = F.when(kind == "label", F.regexp_replace(F.lower(c), "[^a-z0-9]", "")).when(kind == "id", F.upper(F.regexp_replace(c, "[^A-Za-z0-9]", "")))
+    out = out.when(kind == "money", X.parse_money(c).cast("string")).when(kind == "date", F.coalesce(X.parse_date(c).cast("string"), name)).otherwise(name)
+    return F.when(X.is_populated(c), out)
+
+
+def agrees(kind: Column, a: Column, b: Column) -> Column:
+    """Whether two cells of one kind agree: both missing, or the same by the kind's measure.
+
+    Lists (JSON) by Jaccard of their folded entries from 0.8, free text by Jaccard of its
+    words from 0.6, names if equal or if one's words hold the other's with Jaccard from
+    0.5, money within 0.005, dates, labels and ids if equal once folded.
+    """
+    x, y = _comparable(kind, a), _comparable(kind, b)
+    entries = lambda c: F.array_distinct(F.filter(F.transform(F.coalesce(F.from_json(c, "array<string>"), F.array(c)), lambda e: F.array_join(_words(e), " ")), lambda e: e != ""))
+    p, q = F.array_distinct(_words(a)), F.array_distinct(_words(b))
+    held = (F.size(F.array_intersect(p, q)) == F.least(F.size(p), F.size(q))) & (F.least(F.size(p), F.size(q)) > 0)
+    same = (
+        F.when(kind == "list", X.jaccard(entries(a), entries(b)) >= 0.8).when(kind == "free_text", X.jaccard(p, q) >= 0.6)
+        .when(kind == "name", (x == y) | held & (X.jaccard(p, q) >= 0.5)).when(kind == "money", F.abs(X.parse_money(a) - X.parse_money(b)) < 0.005).otherwise(x == y)
+    )
+    return F.when(x.isNull() | y.isNull(), x.isNull() & y.isNull()).otherwise(same)
+
+
+def numbers(c: Column) -> Column:
+    """Distinct numbers as written, without separators and without zeros that end decimals."""
+    found = F.transform(F.regexp_extract_all(c, F.lit(r"\d[\d,]*(?:\.\d+)?"), F.lit(0)), lambda n: F.translate(n, ",", ""))
+    return F.array_distinct(F.transform(found, lambda n: F.regexp_replace(F.regexp_replace(n, r"(\.\d*?)0+$", "$1"), r"\.$", "")))
+
+
+def grounded(kind: Column, value: Column, text: Column, dates: Column) -> Column:
+    """Whether ``text`` supports a value: its number, its date (of ``dates``), or its words.
+
+    Of free text 60 % of the words are enough, of other kinds all are needed. A date that
+    isn't a full one must be printed in the text as it is, but for case, marks and spaces.
+    """
+    plain = lambda c: X.squeeze(F.lower(F.translate(c, "*_#", "")))
+    day = X.parse_date(value)
+    printed = value.rlike(r"\d") & F.contains(plain(text), plain(value))
+    own = numbers(value)
+    in_text = (F.size(own) > 0) & (F.size(F.array_except(own, numbers(text))) == 0)
+    share = token_share(value, text)
+    out = F.when(kind == "date", F.when(day.isNotNull(), F.array_contains(dates, day.cast("string"))).otherwise(printed))
+    out = out.when(kind == "money", in_text).when(kind == "free_text", share >= 0.6).otherwise(share >= 1.0)
+    return F.coalesce(X.is_populated(value) & out, F.lit(False))

@@ -70,14 +70,12 @@ def normalize_subject(c: Column) -> Column:
 
 
 def parse_money(c: Column) -> Column:
-    """The first number with its sign or parentheses and a k, m or bn suffix."""
-    number = r"(\d[\d,]*\.?\d*)"
-    digits = F.regexp_extract(c, number, 1)
-    value = F.regexp_replace(digits, ",", "").try_cast("double")
-    unit = F.lower(F.regexp_extract(c, number + r"\s*(k|m|bn)?(?![a-z])", 2))
-    scale = F.when(unit == "k", 1e3).when(unit == "m", 1e6).when(unit == "bn", 1e9).otherwise(1.0)
-    sign = F.when(c.rlike(r"\(\s*\$?\d|-\s*\$?\d"), -1.0).otherwise(1.0)
-    return value * scale * sign
+    """The first number with its unit (k, m, bn, or a word), negative after a minus or in parentheses."""
+    part = lambda k: F.regexp_extract(F.lower(F.translate(c, ",", "")), r"(?s)^(\D*)(\d+(?:\.\d+)?)\s*(thousand|million|billion|(?:k|m|b|bn)\b)?(.*)$", k)
+    before, unit = F.trim(part(1)), part(3)
+    scale = F.when(unit.isin("k", "thousand"), 1e3).when(unit.isin("m", "million"), 1e6).when(unit != "", 1e9).otherwise(1.0)
+    negative = before.startswith("-") | before.endswith("-") | (before.startswith("(") & part(4).contains(")"))
+    return part(2).try_cast("double") * scale * F.when(negative, -1.0).otherwise(1.0)
 
 
 def strip_headers(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import cells as C
 from corpuslens.functions import exprs as X
+from corpuslens.functions import udfs
 from corpuslens.operators import release, review
 from corpuslens.plans.base import query
 from corpuslens.plans.release import _RULE
@@ -190,3 +191,49 @@ def completion_fills(t):
     technical = F.when(C.mentioned(F.col("text"), "(token|license|version)"), "technical")
     template = F.when(F.col("lang") == "en", F.concat(F.lit("written by "), "source"))
     return rows.select("doc_id", C.fill(F.col("quality").cast("string"), technical, template).alias("purpose"))
+
+
+_W = "list_distinct(regexp_extract_all(lower({0}), '[a-z0-9]+'))"
+_JACCARD = f"(len(list_intersect({_W.format('a')}, {_W.format('b')})) / len(list_distinct({_W.format('a')} || {_W.format('b')}))::DOUBLE)"
+
+
+@query(f"""WITH c AS (SELECT c_custkey, c_custkey % 8 AS k, c_nationkey % 4 AS m, c_name, c_mktsegment AS s, c_acctbal::DECIMAL(12, 2) AS bal FROM customer),
+v AS (SELECT c_custkey, k, m, bal, CASE k WHEN 0 THEN s WHEN 1 THEN c_name WHEN 2 THEN c_name || ' deals in ' || lower(s) WHEN 7 THEN '' END AS a,
+  CASE k WHEN 0 THEN CASE WHEN m = 0 THEN s || 'x' ELSE ' ' || lower(s) || '.' END WHEN 1 THEN c_name || [' Inc.', ', of the north', ' (1) (2) (3)', ''][m + 1] WHEN 2 THEN [c_name, c_name || ' deals', c_name || ' deals in', lower(s) || ' in ' || c_name][m + 1] WHEN 7 THEN CASE WHEN m = 0 THEN s END END AS b FROM c)
+SELECT c_custkey, CASE k WHEN 0 THEN regexp_replace(lower(a), '[^a-z0-9]', '', 'g') = regexp_replace(lower(b), '[^a-z0-9]', '', 'g') WHEN 1 THEN {_JACCARD} >= 0.5 AND len(list_intersect({_W.format('a')}, {_W.format('b')})) = least(len({_W.format('a')}), len({_W.format('b')})) WHEN 2 THEN {_JACCARD} >= 0.6
+  WHEN 3 THEN m < 2 WHEN 4 THEN m <> 0 WHEN 5 THEN m <> 3 WHEN 6 THEN m = 1 ELSE b IS NULL END AS agree FROM v""")
+def typed_agreement(t):
+    """Two raters' cells of eight kinds, by each kind's own measure."""
+    k, m, name, s = F.col("c_custkey") % 8, F.col("c_nationkey") % 4, F.col("c_name"), F.col("c_mktsegment")
+    pick = lambda *options: F.get(F.array(*options), m)
+    by = lambda *options: F.coalesce(*[F.when(k == n, c) for n, c in enumerate(options)])
+    day = F.date_add(F.lit("2021-03-01").cast("date"), (F.col("c_custkey") % 300).cast("int"))
+    cents = F.concat(F.lit("$"), F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    more = F.concat(F.lit("USD "), (F.col("c_acctbal").cast("decimal(12,2)") + (m >= 2).cast("int")).cast("string"))
+    listed = lambda *names: F.to_json(F.array(*[c if not isinstance(c, str) else F.lit(c) for c in names]))
+    tail = lambda x: F.concat(name, F.lit(x))
+    lower = F.lower(s)
+    a = by(s, name, F.concat(name, F.lit(" deals in "), lower), cents, F.date_format(day, "yyyy-MM-dd"), listed("A b", "c", "d", "e", name), F.concat(F.lit("x-"), name), F.lit(""))
+    b = by(
+        F.when(m == 0, F.concat(s, F.lit("x"))).otherwise(F.concat(F.lit(" "), lower, F.lit("."))), pick(tail(" Inc."), tail(", of the north"), tail(" (1) (2) (3)"), name),
+        pick(name, tail(" deals"), tail(" deals in"), F.concat(lower, F.lit(" in "), name)), more, pick(F.lit("soon"), F.date_format(day, "M/d/yyyy"), F.date_format(day, "MMMM d, yyyy"), F.date_format(day, "yyyy-MM-dd")),
+        pick(listed(name, "a  B", "C", "d.", "E"), listed("a b", "c", "d", "e"), listed("a b", "c", "d", "e", name, "f"), listed("a b", "c", "d")), pick(F.lit("x"), F.concat(F.lit("X "), name), F.lit(""), F.upper(name)), F.when(m == 0, s),
+    )
+    kind = F.get(F.array(*map(F.lit, ("label", "name", "free_text", "money", "date", "list", "id", "name"))), k)
+    return t.customer.select("c_custkey", C.agrees(kind, a, b).alias("agree"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS k, o_totalprice::DECIMAL(14, 2) AS p, o_orderdate::DATE AS d, o_orderpriority AS w FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN TRUE WHEN 1 THEN FALSE WHEN 2 THEN TRUE WHEN 3 THEN FALSE WHEN 4 THEN TRUE WHEN 5 THEN TRUE WHEN 6 THEN w = '5-LOW' ELSE FALSE END AS grounded FROM o""")
+def value_grounding(t):
+    """Whether each order's note supports a value said of it: amounts, dates, names, free text."""
+    k, price, day = F.col("o_orderkey") % 8, F.col("o_totalprice").cast("decimal(14,2)"), F.to_date("o_orderdate")
+    text = F.concat(F.lit("Total **due** "), F.format_number(price, 2), F.lit(" on "), F.date_format(day, "MMMM d, yyyy"), F.lit(", in  the spring; priority "), "o_orderpriority")
+    by = lambda *options: F.coalesce(*[F.when(k == n, c) for n, c in enumerate(options)])
+    value = by(
+        F.concat(F.lit("$"), price.cast("string")), F.concat(F.lit("$"), (price + 1).cast("string")), F.date_format(day, "yyyy-MM-dd"), F.date_format(F.date_add(day, 1), "yyyy-MM-dd"),
+        F.concat(F.lit("DUE "), F.format_number(price, 2)), F.lit("the spring total, say"), F.lit("5 low"), F.lit("in the spring"),
+    )
+    kind = F.get(F.array(*map(F.lit, ("money", "money", "date", "date", "date", "free_text", "name", "date"))), k)
+    rows = t.orders.select("o_orderkey", kind.alias("kind"), value.alias("value"), text.alias("text"))
+    return rows.select("o_orderkey", C.grounded(F.col("kind"), F.col("value"), F.col("text"), udfs.dates_in("text")).alias("grounded"))

@@ -56,3 +56,21 @@ def test_token_share_and_fill(spark):
     rows = [("one two two", "two three", None), ("", "x", "q"), ("[]", "a b", "q")]
     assert each(spark, rows, C.token_share(F.col("a"), F.col("b")), "a string, b string, c string") == [2 / 3, 0.0, 0.0]
     assert each(spark, rows, C.fill(F.col("a"), F.col("c"), F.lit("z")), "a string, b string, c string") == ["one two two", "q", "q"]
+
+
+def test_agreement_by_kind(spark):
+    cases = [
+        ("list", '["a","b"]', '["B!","A"]', True), ("list", "[]", None, True), ("list", "[]", '["a"]', False), ("list", "a", '["a"]', True), ("money", "1.5 million", "$1,500,000", True), ("money", "5.00", "5.01", False), ("money", "no number", "", True), ("money", "no number", "5", False),
+        ("date", "March 1, 2020", "2020-03-01", True), ("date", "in spring", "In  Spring", True), ("label", "A-b", "ab", True), ("id", "x-1", "X 1", True), ("name", "Acme Corp", "Acme", True), ("name", "Acme Corp of Ohio", "Acme", False), ("free_text", "a b c", "a b c d e", True), ("free_text", "a b", "a b c d", False), ("name", None, " ", True),
+    ]
+    got = each(spark, [c[:3] for c in cases], C.agrees(F.col("a"), F.col("b"), F.col("c")), "a string, b string, c string")
+    assert [(*c[:3], g) for c, g in zip(cases, got, strict=True)] == cases
+
+
+def test_grounding_by_kind(spark):
+    from corpuslens.functions import udfs
+
+    text = "Paid $1,250.50 and 30.00 on March 1, 2020 by Acme *Corp*, in the  Spring of 2019."
+    cases = [("money", "1250.5", True), ("money", "30", True), ("money", "25", False), ("money", "none", False), ("date", "2020-03-01", True), ("date", "2020-03-02", False), ("date", "spring of 2019", True), ("date", "in the spring", False), ("name", "acme corp", True), ("name", "Acme Inc", False), ("free_text", "paid by acme inc", True), ("name", "", False), ("name", None, False)]
+    got = each(spark, [(k, v, text) for k, v, _ in cases], C.grounded(F.col("a"), F.col("b"), F.col("c"), udfs.dates_in("c")), "a string, b string, c string")
+    assert [(*c[:2], g) for c, g in zip(cases, got, strict=True)] == cases

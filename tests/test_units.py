@@ -27,7 +27,7 @@ def test_split_is_md5_mod_ten(spark):
     assert all((r.s == "test") == (int(hashlib.md5(str(r.id).encode()).hexdigest(), 16) % 10 == 0) for r in rows)
 
 
-@pytest.mark.parametrize(("value", "want"), [("$1,234.50", 1234.5), ("(12k)", -12000.0), ("2.5bn", 2.5e9), ("EUR 3 m", 3e6), ("none", None)])
+@pytest.mark.parametrize(("value", "want"), [("$1,234.50", 1234.5), ("(12k)", -12000.0), ("2.5bn", 2.5e9), ("EUR 3 m", 3e6), ("none", None), ("1.5 million", 1.5e6), ("2 Billion", 2e9), ("USD 40 thousand", 4e4), ("3b", 3e9), ("1,000 - 2,000", 1000.0), ("- USD 75", -75.0), ("-$75", -75.0), ("$-75", -75.0), ("(see 7) 8", -7.0), ("12 kilos", 12.0), ("", None), ("5\n)", 5.0)])
 def test_money(spark, value, want):
     assert one(spark, value, X.parse_money) == want
 
