@@ -220,7 +220,8 @@ def typed_agreement(t):
         pick(listed(name, "a  B", "C", "d.", "E"), listed("a b", "c", "d", "e"), listed("a b", "c", "d", "e", name, "f"), listed("a b", "c", "d")), pick(F.lit("x"), F.concat(F.lit("X "), name), F.lit(""), F.upper(name)), F.when(m == 0, s),
     )
     kind = F.get(F.array(*map(F.lit, ("label", "name", "free_text", "money", "date", "list", "id", "name"))), k)
-    return t.customer.select("c_custkey", C.agrees(kind, a, b).alias("agree"))
+    rows = t.customer.select("c_custkey", kind.alias("kind"), a.alias("a"), b.alias("b"))
+    return rows.select("c_custkey", C.agrees(F.col("kind"), F.col("a"), F.col("b")).alias("agree"))
 
 
 @query("""WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS k, o_totalprice::DECIMAL(14, 2) AS p, o_orderdate::DATE AS d, o_orderpriority AS w FROM orders)
