@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from corpuslens.llm import exact_dedup, langid, license_scan, mixing, ngram_join, packing, quality_mcd, secret_scan, sstable, token_rollup
+from corpuslens.llm import exact_dedup, filter_audit, langid, lexical_search, license_scan, mixing, ngram_join, packing, quality_mcd, secret_scan, sstable, token_rollup, toxicity
 
 
 def _documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def _with(operator: Callable[[DataFrame, DataFrame], DataFrame], other: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/{other}.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": _documents(ngram_join.ngram_components),
     "op2_secret_scan": _documents(secret_scan.scan_secrets),
@@ -25,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": _documents(exact_dedup.exact_dedup),
     "op9_token_shards": _documents(sstable.token_shards),
     "op10_sequence_packing": _documents(packing.pack),
+    "op11_lexical_search": _with(lexical_search.search, "benchmark"),
+    "op12_toxicity": _with(toxicity.score_toxicity, "labels"),
+    "op13_filter_audit": _with(filter_audit.audit_filters, "labels"),
     "pipeline": lambda spark, sf_dir: corpus_pipeline.run(spark, sf_dir),
 }
 
@@ -38,6 +45,8 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.oracle(),
     "op4_source_mixing": mixing.ORACLE,
     "op8_exact_dedup": _OP8,
+    "op11_lexical_search": lexical_search.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
