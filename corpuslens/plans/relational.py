@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import exprs as X
-from corpuslens.operators import dedup, grouping, ordering
+from corpuslens.operators import containment, dedup, grouping, ordering
 from corpuslens.plans.base import query
 
 _SPLIT = "CASE WHEN (('0x' || substr(md5(doc_id::VARCHAR), 1, 16))::UBIGINT % 10 * 6 + ('0x' || substr(md5(doc_id::VARCHAR), 17, 16))::UBIGINT % 10) % 10 = 0 THEN 'test' ELSE 'train' END"
@@ -74,41 +74,14 @@ def span_overlap(t):
     return p.join(g, F.expr("p.k = g.k and p.cat = g.cat and p.s <> g.s and p.s < g.e and g.s < p.e"), "left_semi")
 
 
-#: Hashes of all runs of 13 characters inside words.
-_RUNS = "flatten(transform(filter({words}, x -> length(x) >= 13), x -> transform(array(split(x, '')), c -> transform(sequence(0, size(c) - 13), i -> xxhash64(" + ", ".join(f"c[i + {k}]" for k in range(13)) + ")))[0]))"
-
-
 @query(r"""WITH d AS (SELECT doc_id, lower(trim(regexp_replace(text, '[\s\x{85}\x{a0}\x{2028}]+', ' ', 'g'))) AS n FROM documents), b AS (SELECT item_id, trim(substr(lower(trim(regexp_replace(text, '[\s\x{85}\x{a0}\x{2028}]+', ' ', 'g'))), 1, 200)) AS x FROM benchmark)
 SELECT item_id, doc_id FROM b, d WHERE length(x) >= 40 AND contains(n, x)""")
 def evidence_containment(t):
-    """Items whose first 200 characters a document has, blocked by words or by characters.
-
-    A text that contains an excerpt of four words or more contains its second and third words
-    in a row. A shorter one has a word of 13 characters or more, as it has 40 in all, and the
-    text a word that contains this word's first 13. So the pairs to test come from an
-    equi-join on hashes of word pairs and of runs of 13 characters inside words, not from
-    all pairs.
-    """
-    normal = F.lower(X.squeeze(F.col("text")))
-    words = F.split(F.col("n"), " ")
-    items = t.benchmark.select("item_id", F.trim(F.substring(normal, 1, 200)).alias("x")).where("length(x) >= 40").withColumn("n", F.col("x"))
-    longest = F.expr(f"get({_RUNS.format(words='filter(w, x -> length(x) = array_max(transform(w, y -> length(y))))')}, 0)")
-    items = items.select("item_id", "x", words.alias("w"))
-    docs = t.documents.select("doc_id", normal.alias("n"))
-    split = docs.select("doc_id", words.alias("w"))
-
-    def near(some, key, keys):
-        """Documents and items that share a key."""
-        some = some.select("item_id", "x", key.alias("key"))
-        placed = split.select("doc_id", F.explode(F.array_distinct(F.expr(keys))).alias("key")).join(some.select("key").distinct(), "key", "left_semi")
-        return placed.join(some, "key").select("doc_id", "item_id", "x")
-
-    pairs = "transform(sequence(1, greatest(size(w) - 1, 1)), i -> xxhash64(w[i - 1], get(w, i)))"
-    found = near(items.where("size(w) >= 4"), F.xxhash64(F.get("w", F.lit(1)), F.get("w", F.lit(2))), pairs)
-    few = items.where("size(w) < 4")
-    if not few.isEmpty():  # only then are the characters of long words looked at
-        found = found.unionByName(near(few, longest, _RUNS.format(words="w")))
-    return found.join(docs, "doc_id").where(F.col("n").contains(F.col("x"))).select("item_id", "doc_id")
+    """Items whose first 200 characters a document has, both folded."""
+    fold = lambda c: F.lower(X.squeeze(c))
+    items = t.benchmark.select(F.col("item_id").alias("item"), F.trim(F.substring(fold(F.col("text")), 1, 200)).alias("excerpt")).where("length(excerpt) >= 40")
+    found = containment.contained(t.documents.select(F.col("doc_id").alias("doc"), "text"), items, fold)
+    return found.select(F.col("item").alias("item_id"), F.col("doc").alias("doc_id"))
 
 
 @query("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
@@ -270,16 +243,7 @@ def conformance_gates(t):
 
 @query("""WITH c AS (SELECT DISTINCT item_id FROM benchmark b, documents d WHERE contains(d.text, b.text)) SELECT count(*) AS checked, count(*) FILTER (WHERE item_id NOT IN (FROM c)) AS missing FROM benchmark""")
 def verbatim_check(t):
-    """Excerpts that must stand word for word in some document, and how many don't.
-
-    A document is reduced to the hashes of its runs of eight words; an excerpt meets those
-    that have its own rarest run by key, and only these texts are searched.
-    """
-    run = "transform(array(split({0}, ' ')), w -> transform(sequence(0, greatest(size(w) - 8, 0)), i -> xxhash64(array_join(slice(w, i + 1, 8), ' '))))[0]"
-    inner = "transform(array(split(text, ' ')), w -> xxhash64(array_join(slice(w, 2, 8), ' ')))[0]"
-    items = t.benchmark.select("item_id", F.col("text").alias("x"), F.expr(inner).alias("key"))
-    keys = items.select("key").distinct()
-    docs = t.documents.select("doc_id", "text")
-    near = docs.select("doc_id", F.explode(F.array_distinct(F.expr(run.format("text")))).alias("key")).join(keys, "key", "left_semi")
-    found = near.join(items, "key").join(docs, "doc_id").where(F.col("text").contains(F.col("x"))).select("item_id").distinct().withColumn("has", F.lit(1))
-    return t.benchmark.select("item_id").join(found, "item_id", "left").agg(F.count("*").alias("checked"), F.count_if(F.col("has").isNull()).alias("missing"))
+    """Excerpts that must stand letter for letter in some document, and how many don't."""
+    items = t.benchmark.select(F.col("item_id").alias("item"), F.col("text").alias("excerpt"))
+    found = containment.contained(t.documents.select(F.col("doc_id").alias("doc"), "text"), items).select(F.col("item").alias("item_id")).distinct()
+    return t.benchmark.join(found.withColumn("has", F.lit(1)), "item_id", "left").agg(F.count("*").alias("checked"), F.count_if(F.col("has").isNull()).alias("missing"))

@@ -1,20 +1,46 @@
-"""The driver's tables as attributes, read lazily."""
+"""The driver's tables as attributes, read lazily, and tables between the steps of an operator."""
 
 from __future__ import annotations
 
+import contextlib
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_folder(spark: SparkSession) -> None:
-    """The cluster's shared folder, or a temporary one where none is set and Spark is local."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a temporary one only where none is set and Spark is local."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="corpuslens-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
 
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpuslens-"))
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Lets ``checkpoint()`` write to the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: it survives lost executors, and the planner knows its size.
+
+    It backs lazy results, so it stays until the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    with contextlib.suppress(Exception):  # only tidies up: an odd store may refuse it
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
