@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,11 +107,57 @@ def parse_date(c: Column) -> Column:
     return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in forms])
 
 
+#: What follows a quoted term where it is defined.
+DEFINES = ("means", "shall mean", "shall be", "shall equal", "has the meaning", "shall have the meaning")
+
+
 def definition(text: Column, term: str, most: int) -> Column:
-    """The line that defines ``term``, at most ``most`` characters; null if none does."""
+    """The first line that defines the quoted ``term``, at most ``most`` characters; null if none does."""
     quote = "[\"\u201c\u201d\u2019']"
-    found = F.regexp_extract(text, rf"(?im)^([^\n]{{0,200}}{quote}\Q{term}\E{quote}\s*(?:means|shall\s+(?:mean|be|equal)|(?:has|shall\s+have)\s+the\s+meaning)[^\n]*)", 1)
-    return F.when(found != "", F.substring(found, 1, most))
+
+    def defines(line: Column) -> Column:
+        after = F.lower(squeeze(F.get(F.split(line, f"(?i){quote}{re.escape(term)}{quote}", 2), F.lit(1))))
+        found = F.lit(False)
+        for phrase in DEFINES:
+            found = found | after.startswith(phrase)
+        return F.coalesce(found, F.lit(False))
+
+    return F.substring(F.get(F.filter(F.split(text, "\n"), defines), F.lit(0)), 1, most)
+
+
+#: The months by name; their first three letters are names too, and "sept".
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
+def dates_in(text: Column) -> Column:
+    """Every full date written in ``text``, as ISO dates in order; impossible ones are left out.
+
+    Words and marks are taken as tokens, without what may stand between a day and its
+    month (ordinal endings, "day", "of", commas, full stops). A date is then a year, month
+    and day with hyphens, a month, day and year with slashes, or a named month with a day
+    beside it and a year after them.
+    """
+    names = {short: k for k, name in enumerate(MONTHS, 1) for short in (name[:3], name)} | {"sept": 9}
+    month = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}0-9_]+|[^\s\p{L}0-9_]"), F.lit(0))
+    tokens = F.transform(tokens, lambda w: F.regexp_replace(w, "^([0-9]{1,2})(st|nd|rd|th)$", "$1"))
+    tokens = F.filter(tokens, lambda w: ~w.isin(".", ",", "day", "of"))
+
+    def at(w: Column, i: Column) -> Column:
+        a, b, c, d, e = (F.get(w, i + k) for k in range(5))
+        year = lambda x: x.rlike("^[0-9]{4}$")
+        short = lambda x: x.rlike("^[0-9]{1,2}$")
+        named = lambda x: F.try_element_at(month, x).cast("string")
+        parts = F.when((b == "-") & (d == "-") & year(a) & c.rlike("^[0-9]{2}$") & e.rlike("^[0-9]{2}$"), F.concat_ws("-", a, c, e))
+        parts = parts.when((b == "/") & (d == "/") & short(a) & short(c) & year(e), F.concat_ws("-", e, a, c))
+        parts = parts.when(year(c) & short(b) & named(a).isNotNull(), F.concat_ws("-", c, named(a), b))
+        free = ~F.coalesce(F.get(w, i - 1) == "-", F.lit(False))  # else the day is of the date before
+        return parts.when(year(c) & short(a) & named(b).isNotNull() & free, F.concat_ws("-", c, named(b), a))
+
+    # an array of one, so that the tokens are made once
+    found = F.get(F.transform(F.array(tokens), lambda w: F.transform(F.sequence(F.lit(0), F.size(w)), lambda i: at(w, i))), F.lit(0))
+    days = F.transform(F.array_compact(found), lambda x: F.to_date(F.try_to_timestamp(x, F.lit("y-M-d"))).cast("string"))
+    return F.coalesce(F.array_compact(days), F.array().cast("array<string>"))
 
 
 def clean_filer(c: Column, states: list[str], countries: list[str]) -> Column:

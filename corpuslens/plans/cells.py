@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import cells as C
 from corpuslens.functions import exprs as X
-from corpuslens.functions import udfs
 from corpuslens.operators import release, review
 from corpuslens.plans.base import query
 from corpuslens.plans.release import _RULE
@@ -237,4 +236,4 @@ def value_grounding(t):
     )
     kind = F.get(F.array(*map(F.lit, ("money", "money", "date", "date", "date", "free_text", "name", "date"))), k)
     rows = t.orders.select("o_orderkey", kind.alias("kind"), value.alias("value"), text.alias("text"))
-    return rows.select("o_orderkey", C.grounded(F.col("kind"), F.col("value"), F.col("text"), udfs.dates_in("text")).alias("grounded"))
+    return rows.select("o_orderkey", C.grounded(F.col("kind"), F.col("value"), F.col("text"), X.dates_in("text")).alias("grounded"))

@@ -225,7 +225,7 @@ def dates_in_text(t):
     """All full dates of a text in their three written forms; an impossible one is left out."""
     day = F.to_date("o_orderdate")
     text = F.concat(F.lit("From "), F.date_format(day, "yyyy-MM-dd"), F.lit(" (not 2/30/2020) to "), F.date_format(F.date_add(day, 1), "MMMM d, yyyy"), F.lit("; due "), F.date_format(F.date_add(day, 2), "d MMM yyyy"), F.lit("."))
-    return t.orders.select("o_orderkey", udfs.dates_in(text).alias("dates"))
+    return t.orders.select("o_orderkey", X.dates_in(text).alias("dates"))
 
 
 @query(r"""WITH m AS (SELECT conv_id, string_agg(CASE WHEN turn = 0 THEN 'From: ' || role || '@x.org' || chr(10) || 'Subject:  Re: item ' || conv_id || chr(10) WHEN role = 'user' THEN 'To: ' || turn || chr(10) ELSE '' END || text, chr(10) ORDER BY turn) AS mail,

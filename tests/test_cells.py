@@ -68,9 +68,9 @@ def test_agreement_by_kind(spark):
 
 
 def test_grounding_by_kind(spark):
-    from corpuslens.functions import udfs
+    from corpuslens.functions import exprs as X
 
     text = "Paid $1,250.50 and 30.00 on March 1, 2020 by Acme *Corp*, in the  Spring of 2019."
     cases = [("money", "1250.5", True), ("money", "30", True), ("money", "25", False), ("money", "none", False), ("date", "2020-03-01", True), ("date", "2020-03-02", False), ("date", "spring of 2019", True), ("date", "in the spring", False), ("name", "acme corp", True), ("name", "Acme Inc", False), ("free_text", "paid by acme inc", True), ("name", "", False), ("name", None, False)]
-    got = each(spark, [(k, v, text) for k, v, _ in cases], C.grounded(F.col("a"), F.col("b"), F.col("c"), udfs.dates_in("c")), "a string, b string, c string")
+    got = each(spark, [(k, v, text) for k, v, _ in cases], C.grounded(F.col("a"), F.col("b"), F.col("c"), X.dates_in("c")), "a string, b string, c string")
     assert [(*c[:2], g) for c, g in zip(cases, got, strict=True)] == cases
