@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuslens.functions import udfs
+
 #: Strings that mean "no value".
 EMPTY = ("", "[]", "{}")
 PLACEHOLDERS = ("nan", "none", "null")
@@ -66,6 +68,26 @@ def clean_offset(text: Column, start: Column) -> Column:
     return F.length(clean_text(F.substring(text, F.lit(1), start))) - F.when((start > 0) & split_pair, 1).otherwise(0)
 
 
+def remap_spans(text: Column, spans: Column) -> Column:
+    """``spans`` (arrays of start and stop, from 0, exclusive) of ``text`` moved on to ``clean_text(text)``.
+
+    Each becomes (start, stop, quote, problem): ``out of text`` if it isn't a span of the
+    text, ``lost`` if nothing of it is left, else null and the quote is its cleaned text.
+    """
+    whole = F.coalesce(spans, F.array().cast("array<struct<start:int,stop:int>>"))
+    moved = udfs.moved_offsets(text, F.flatten(F.transform(whole, lambda s: F.array(s["start"], s["stop"]))))
+
+    def one(s: Column, i: Column, clean: Column, to: Column) -> Column:
+        a, b = F.get(to, 2 * i), F.get(to, 2 * i + 1)
+        bad = a.isNull() | b.isNull() | (s["start"] > s["stop"])
+        problem = F.when(bad, "out of text").when(a == b, "lost")
+        return F.struct(F.when(~bad, a).alias("start"), F.when(~bad, b).alias("stop"), F.when(~bad, F.substring(clean, a + 1, b - a)).alias("quote"), problem.alias("problem"))
+
+    # an array of one, so that text is cleaned and offsets are moved once
+    both = F.array(F.struct(clean_text(text).alias("clean"), moved.alias("to")))
+    return F.get(F.transform(both, lambda x: F.transform(whole, lambda s, i: one(s, i, x["clean"], x["to"]))), F.lit(0))
+
+
 def normalize_subject(c: Column) -> Column:
     bare = F.regexp_replace(c, r"(?i)^(\s*(re|fw|fwd|aw)\s*:|\s*\[[^\]]*\])+", "")
     return F.lower(squeeze(bare))

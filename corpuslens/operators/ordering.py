@@ -66,9 +66,29 @@ def interleave(df: DataFrame, group: str, key: str, every: int) -> DataFrame:
 
 
 def largest_remainder(df: DataFrame, name: str, weight: str, total: int) -> DataFrame:
-    """Seats by largest remainder over one row per stratum."""
-    share = F.lit(total) * F.col(weight) / F.sum(weight).over(Window.partitionBy())
-    parts = df.withColumn("exact", share).withColumn("base", F.floor("exact").cast("int"))
-    left = F.lit(total) - F.sum("base").over(Window.partitionBy())
-    rank = F.row_number().over(Window.orderBy(F.desc(F.round(F.col("exact") - F.col("base"), 9)), name))
-    return parts.select(name, weight, (F.col("base") + F.when(rank <= left, 1).otherwise(0)).cast("int").alias("seats"))
+    """Seats by largest remainder over one row per stratum, with at least one seat each.
+
+    Strata without weight have none. With fewer seats than strata, the heaviest ones have
+    one each. Where the seats that everyone has overshoot the total, they are taken back one
+    by one from strata with more than one, the smallest shares first, in as many rounds as
+    it takes. Ties go by name. Strata are placed by range, so no task holds them all.
+    """
+    some = df.where(F.col(weight) > 0).select(name, weight)
+    row = some.agg(F.count("*").alias("n"), F.sum(weight).alias("w")).first()
+    if not row["n"]:
+        return df.select(name, weight, F.lit(0).alias("seats"))
+    if total < row["n"]:
+        ranked = numbered(some.withColumn("__less", -F.col(weight)), ["__less", name], "__at")
+        seats = ranked.select(name, F.when(F.col("__at") < total, 1).otherwise(0).alias("seats"))
+    else:
+        exact = F.lit(total) * F.col(weight) / F.lit(row["w"])
+        parts = some.withColumn("__exact", exact).withColumn("__base", F.greatest(F.lit(1), F.floor("__exact").cast("int")))
+        left = total - parts.agg(F.sum("__base")).first()[0]
+        if left >= 0:
+            ranked = numbered(parts.withColumn("__less", F.round(F.col("__base") - F.col("__exact"), 9)), ["__less", name], "__at")
+            seats = ranked.select(name, (F.col("__base") + F.when(F.col("__at") < left, 1).otherwise(0)).alias("seats"))
+        else:
+            spare = parts.where("__base > 1").withColumn("__round", F.explode(F.expr("sequence(1, __base - 1)")))
+            taken = numbered(spare, ["__round", "__exact", name], "__at").where(F.col("__at") < -left).groupBy(name).agg(F.count("*").cast("int").alias("__taken"))
+            seats = parts.join(taken, name, "left").select(name, (F.col("__base") - F.coalesce("__taken", F.lit(0))).alias("seats"))
+    return df.join(seats, name, "left").select(name, weight, F.coalesce("seats", F.lit(0)).cast("int").alias("seats"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import exprs as X
-from corpuslens.operators import agreement, ordering
+from corpuslens.operators import agreement, bootstrap, ordering
 from corpuslens.plans.base import query
 
 
@@ -125,10 +125,24 @@ def cost_projection(t):
     return sums.join(F.broadcast(prices), "event_type", "left").select("event_type", "calls", "tokens", F.round(F.col("tokens") * F.coalesce("price", F.lit(1.0)) / 1000, 6).alias("cost"))
 
 
-@query("""WITH w AS (SELECT lang, count(*) AS weight FROM documents GROUP BY lang), x AS (SELECT lang, weight, 100::BIGINT * weight / sum(weight) OVER ()::DOUBLE AS exact FROM w), b AS (SELECT *, floor(exact)::INTEGER AS base FROM x)
-SELECT lang, weight, (base + CASE WHEN row_number() OVER (ORDER BY round(exact - base, 9) DESC, lang) <= 100 - sum(base) OVER () THEN 1 ELSE 0 END)::INTEGER AS seats FROM b""")
+_SEATS = """SELECT total, stratum, weight, CASE WHEN total < n THEN (row_number() OVER (PARTITION BY total ORDER BY weight DESC, stratum) <= total)::INTEGER
+  WHEN assigned <= total THEN base + (row_number() OVER (PARTITION BY total ORDER BY round(base - exact, 9), stratum) <= total - assigned)::INTEGER
+  ELSE base - coalesce(taken, 0) END AS seats FROM p LEFT JOIN g USING (total, stratum)"""
+
+
+@query(f"""WITH w AS (SELECT n_chars // 1500 AS stratum, count(*) AS weight FROM documents GROUP BY 1), t AS (SELECT unnest([5, 40, 400])::INTEGER AS total),
+p AS (SELECT total, stratum, weight, total * weight / sum(weight) OVER q::DOUBLE AS exact, greatest(1, floor(total * weight / sum(weight) OVER q::DOUBLE))::INTEGER AS base, count(*) OVER q AS n, sum(greatest(1, floor(total * weight / s.every::DOUBLE))) OVER q AS assigned
+  FROM t, w, (SELECT sum(weight) AS every FROM w) s WINDOW q AS (PARTITION BY total)),
+g AS (SELECT total, stratum, count(*) AS taken FROM (SELECT total, stratum, assigned, row_number() OVER (PARTITION BY total ORDER BY round, exact, stratum) AS place FROM (SELECT *, unnest(range(1, base)) AS round FROM p)) WHERE place <= assigned - total GROUP BY ALL)
+{_SEATS}""")
 def largest_remainder(t):
-    return ordering.largest_remainder(t.documents.groupBy("lang").agg(F.count("*").alias("weight")), "lang", "weight", 100)
+    """Draws of three sizes over strata of length: fewer seats than strata, floors that overshoot, and enough."""
+    strata = t.documents.groupBy(F.floor(F.col("n_chars") / 1500).alias("stratum")).agg(F.count("*").alias("weight"))
+    out = None
+    for total in (5, 40, 400):
+        part = ordering.largest_remainder(strata, "stratum", "weight", total).select(F.lit(total).alias("total"), "stratum", "weight", "seats")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("SELECT user_id, list({'f': event_type, 'v': value} ORDER BY event_type) AS fields FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1) WHERE event_type <> 'error' GROUP BY user_id")
@@ -186,9 +200,6 @@ def label_overlay(t):
     return best.join(t.documents.select("doc_id"), "doc_id", "left_semi").select("doc_id", "x.cell", "x.provenance")
 
 
-REPLICATES = 2000
-
-
 def poisson_weight(u: Column) -> Column:
     """The Poisson variable of mean 1 at ``u`` in [0, 1), for all values that a double tells from 1."""
     out, k, chance, total = None, 0, math.exp(-1), 0.0
@@ -202,11 +213,29 @@ def poisson_weight(u: Column) -> Column:
 @query()
 def paired_bootstrap(t):
     """The 95% interval of a difference of accuracies over 2000 hash-weighted replicates."""
-    d = _gold(t).select("doc_id", (F.col("gold") == F.col("pred")).cast("int").alias("a"), F.col("gold").cast("int").alias("b"))
-    reps = d.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(REPLICATES))))
-    u = F.shiftrightunsigned(F.xxhash64("doc_id", "r"), 11) * F.lit(2.0**-53)
-    means = reps.withColumn("w", poisson_weight(u)).groupBy("r").agg((F.sum(F.col("w") * (F.col("a") - F.col("b"))) / F.sum("w")).alias("diff"))
-    return means.agg(F.percentile("diff", 0.025).alias("low"), F.percentile("diff", 0.975).alias("high"))
+    rows = _gold(t)
+    counts = {"n": F.lit(1), "a": F.col("gold") == F.col("pred"), "b": F.col("gold")}
+    sums = bootstrap.replicate_sums(rows, "doc_id", {k: c.cast("int") for k, c in counts.items()})
+    return sums.select(((F.col("a") - F.col("b")) / F.col("n")).alias("diff")).agg(F.percentile("diff", 0.025).alias("low"), F.percentile("diff", 0.975).alias("high"))
+
+
+@query()
+def bootstrap_metrics(t):
+    """Accuracy, micro-F1 and kappa of two raters against a third, as paired differences with intervals."""
+    rows = _gold(t).join(t.labels.select("doc_id", (F.col("toxic") == 0).alias("other")), "doc_id")
+    gold, sides = F.col("gold"), {"a": F.col("pred"), "b": F.col("other")}
+    counts = {}
+    for s, c in sides.items():
+        counts |= {f"{s}_tp": gold & c, f"{s}_fp": ~gold & c, f"{s}_fn": gold & ~c, f"{s}_tn": ~gold & ~c}
+    at = lambda s, k: F.col(f"{s}_{k}")
+    cells = lambda s: {("y", "y"): at(s, "tp"), ("n", "y"): at(s, "fp"), ("y", "n"): at(s, "fn"), ("n", "n"): at(s, "tn")}
+    every = lambda s: at(s, "tp") + at(s, "fp") + at(s, "fn") + at(s, "tn")
+    metrics = {
+        "accuracy": tuple(F.when(every(s) > 0, (at(s, "tp") + at(s, "tn")) / every(s)).otherwise(0.0) for s in sides),
+        "micro_f1": tuple(bootstrap.micro_f1(at(s, "tp"), at(s, "fp"), at(s, "fn")) for s in sides),
+        "cohen_kappa": tuple(bootstrap.kappa(cells(s)) for s in sides),
+    }
+    return bootstrap.paired_intervals(rows, "doc_id", {k: c.cast("int") for k, c in counts.items()}, metrics)
 
 
 @query("SELECT quality, toxic, round(count(*) * 100.0 / sum(count(*)) OVER (), 6)::DOUBLE AS pct FROM labels GROUP BY ALL")

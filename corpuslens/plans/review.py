@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 from corpuslens.functions import exprs as X
-from corpuslens.operators import review
+from corpuslens.operators import json_diff, references, review
 from corpuslens.plans.base import query
 
 _SPACE = r"'[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'"
@@ -146,33 +146,35 @@ def version_lockstep(t):
     return review.lockstep(one(docs, "card").unionByName(one(docs.where("n_chars > 100"), "code")).unionByName(site), ["card", "code", "site"])
 
 
-def flatten(value: object, path: str = "") -> dict[str, str]:
-    """Leaves of a JSON value by path; an empty object or list is a leaf."""
-    pairs = [(f"{path}.{k}" if path else k, v) for k, v in value.items()] if isinstance(value, dict) else [(f"{path}[{k}]", v) for k, v in enumerate(value)] if isinstance(value, list) else []
-    if not pairs:
-        return {path: json.dumps(value, ensure_ascii=False, sort_keys=True)}
-    out: dict[str, str] = {}
-    for p, v in pairs:
-        out |= flatten(v, p)
-    return out
-
-
-@F.pandas_udf(MapType(StringType(), StringType()))
-def json_leaves(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else flatten(json.loads(s)))
-
-
 @query("""WITH e AS (SELECT event_id, (props->>'k')::INTEGER AS k, event_type AS t FROM events)
-SELECT event_id, 'a.k' AS path, k::VARCHAR AS old, (k + 1)::VARCHAR AS new FROM e WHERE event_id % 4 = 1 UNION ALL SELECT event_id, 'list[1]', '"x"', NULL FROM e WHERE event_id % 4 = 2 UNION ALL SELECT event_id, 'more', NULL, '{}' FROM e WHERE event_id % 4 = 3""")
+SELECT event_id, 'a.k' AS path, k::VARCHAR AS old, (k + 1)::VARCHAR AS new FROM e WHERE event_id % 4 = 1 UNION ALL SELECT event_id, 'a.deep[0][1].b', k::VARCHAR, (k + 1)::VARCHAR FROM e WHERE event_id % 4 = 1 UNION ALL
+SELECT event_id, 'list[1]', '"x"', NULL FROM e WHERE event_id % 4 = 2 UNION ALL SELECT event_id, 'a.deep[1]', '[]', NULL FROM e WHERE event_id % 4 = 2 UNION ALL SELECT event_id, 'a.deep[1][0]', NULL, '[]' FROM e WHERE event_id % 4 = 2 UNION ALL SELECT event_id, 'more', NULL, '{}' FROM e WHERE event_id % 4 = 3""")
 def json_deep_diff(t):
-    """Differing leaves of nested records: one changed, one missing, one new, by turns; volatile keys are dropped first."""
+    """Differing leaves of nested records: changed, missing and new ones by turns; what differs from run to run doesn't count."""
     k, m = F.get_json_object("props", "$.k"), F.col("event_id") % 4
-    made = lambda number, tail, more: F.concat(F.lit('{"a":{"k":'), number, F.lit('},"at":'), F.rand().cast("string"), F.lit(',"list":["'), F.col("event_type"), F.lit('"'), tail, F.lit("]"), more, F.lit("}"))
-    old = made(k, F.lit(',"x"'), F.lit(""))
-    new = made(F.when(m == 1, (k.cast("int") + 1).cast("string")).otherwise(k), F.when(m == 2, "").otherwise(',"x"'), F.when(m == 3, ',"more":{}').otherwise(""))
-    leaves = lambda c: F.map_filter(json_leaves(c), lambda p, v: p != "at")
-    rows = t.events.select("event_id", old.alias("o"), new.alias("n"))
-    return review.leaf_diff(rows.select("event_id", leaves(F.col("o")).alias("x")), rows.select("event_id", leaves(F.col("n")).alias("x")), "event_id", "x")
+    made = lambda number, inner, tail, more: F.concat(F.lit('{"a":{"k":'), number, F.lit(',"deep":[[1,{"b":'), number, F.lit("}],"), inner, F.lit(']},"run_at":'), F.rand().cast("string"), F.lit(',"list":["'), F.col("event_type"), F.lit('"'), tail, F.lit("]"), more, F.lit("}"))
+    old = made(k, F.lit("[]"), F.lit(',"x"'), F.lit(""))
+    new = made(F.when(m == 1, (k.cast("int") + 1).cast("string")).otherwise(k), F.when(m == 2, "[[]]").otherwise("[]"), F.when(m == 2, "").otherwise(',"x"'), F.when(m == 3, ',"more":{}').otherwise(""))
+    side = lambda made_of: json_diff.steady(json_diff.leaves(t.events, "event_id", made_of))
+    return json_diff.differences(side(old), side(new), "event_id")
+
+
+@query("""WITH r AS (SELECT event_id, unnest([{'c': 'related', 'r': event_id + 1}, {'c': 'related', 'r': event_id * 2}, {'c': 'parent', 'r': CASE WHEN event_id % 7 <> 0 THEN event_id - event_id % 7 END}]) AS x FROM events WHERE event_id % 11 <> 0)
+SELECT DISTINCT event_id, x.c AS "column", x.r AS reference, CASE WHEN x.r IN (SELECT event_id FROM events) THEN 'removed' ELSE 'missing' END AS reason FROM r WHERE x.r IS NOT NULL AND x.r NOT IN (SELECT event_id FROM events WHERE event_id % 11 <> 0)""")
+def dangling_references(t):
+    """References of kept events to events that were removed or never were."""
+    k = F.col("event_id")
+    rows = t.events.where("event_id % 11 <> 0").select("event_id", F.array(k + 1, k * 2, k + 1, F.lit(None)).alias("related"), F.when(k % 7 != 0, k - k % 7).alias("parent"))
+    return references.dangling(rows, "event_id", ["related", "parent"], t.events.where("event_id % 11 = 0").select("event_id"))
+
+
+@query("""WITH v AS (SELECT doc_id, text, doc_id % 9 = 1 AS money, [substr(text, 4, 9), substr(text, 30, 20), CASE doc_id % 5 WHEN 0 THEN 'not in any text' WHEN 1 THEN '' ELSE right(text, 6) END] AS items FROM documents)
+SELECT doc_id, CASE WHEN NOT money AND list_bool_and(list_transform(items, lambda x: trim(x, ' ') <> '' AND contains(text, x))) THEN list_transform(items, lambda x: {'start': instr(text, x)::INTEGER - 1, 'stop': instr(text, x)::INTEGER - 1 + length(x)::INTEGER, 'quote': x}) ELSE [] END AS spans FROM v""")
+def value_evidence(t):
+    """Where the values of a row stand in its text: all of them, or none."""
+    m, text = F.col("doc_id") % 5, F.col("text")
+    values = F.array(F.substring("text", 4, 9), F.substring("text", 30, 20), F.when(m == 0, "not in any text").when(m == 1, "").otherwise(F.right(text, F.lit(6))))
+    return t.documents.select("doc_id", references.evidence(text, values, F.when(F.col("doc_id") % 9 == 1, "money").otherwise("free_text")).alias("spans"))
 
 
 @query("""SELECT conv_id, turn, CASE WHEN turn % 5 = 0 THEN 'header' WHEN turn % 5 IN (1, 2) THEN 'subject' WHEN turn % 5 = 3 THEN 'family' ELSE 'single' END AS group_kind,

@@ -82,6 +82,19 @@ def text_cleanup(t):
     return rows.select("doc_id", X.clean_text(F.col("d")).alias("clean"), X.clean_offset(F.col("d"), F.lit(200)).alias("at"))
 
 
+@query(r"""WITH d AS (SELECT doc_id, replace(replace(replace(text, chr(10), chr(13) || chr(10)), '. ', '.' || chr(160) || chr(7)), ', ', chr(13)) AS t FROM documents), s AS (SELECT doc_id, t, unnest(range(0, 8)) AS k FROM d), r AS (SELECT doc_id, k, t, (k * 53)::INTEGER AS a, (k * 53 + k * k)::INTEGER AS b FROM s), c AS (
+SELECT *, length(regexp_replace(translate(regexp_replace(substr(t, 1, a), '\r\n?', chr(10), 'g'), chr(160), ' '), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')) - (a > 0 AND substr(t, a, 2) = chr(13) || chr(10))::INTEGER AS x,
+  length(regexp_replace(translate(regexp_replace(substr(t, 1, b), '\r\n?', chr(10), 'g'), chr(160), ' '), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')) - (b > 0 AND substr(t, b, 2) = chr(13) || chr(10))::INTEGER AS y FROM r)
+SELECT doc_id, k::INTEGER AS k, CASE WHEN b <= length(t) THEN x::INTEGER END AS start, CASE WHEN b <= length(t) THEN y::INTEGER END AS stop, CASE WHEN b <= length(t) THEN substr(regexp_replace(translate(regexp_replace(t, '\r\n?', chr(10), 'g'), chr(160), ' '), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), (x + 1)::INTEGER, (y - x)::INTEGER) END AS quote,
+  CASE WHEN b > length(t) THEN 'out of text' WHEN x = y THEN 'lost' END AS problem FROM c""")
+def span_remap(t):
+    """Eight spans of each text, some of them beyond it or of dropped characters, moved on to the cleaned text."""
+    dirty = F.replace(F.replace(F.replace("text", F.lit("\n"), F.lit("\r\n")), F.lit(". "), F.lit(".\u00a0\x07")), F.lit(", "), F.lit("\r"))
+    spans = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.struct((k * 53).alias("start"), (k * 53 + k * k).alias("stop")))
+    rows = t.documents.select("doc_id", dirty.alias("text"))
+    return rows.select("doc_id", F.posexplode(X.remap_spans(F.col("text"), spans)).alias("k", "s")).select("doc_id", "k", "s.start", "s.stop", "s.quote", "s.problem")
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice)::DOUBLE * 1000 WHEN o_orderkey % 3 = 1 THEN -floor(o_totalprice)::DOUBLE ELSE floor(o_totalprice)::DOUBLE END AS amount FROM orders""")
 def money_parse(t):
     n = F.format_number(F.floor("o_totalprice"), 0)
