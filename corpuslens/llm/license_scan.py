@@ -12,9 +12,14 @@ paragraph. Two bounds prune, and neither loses a match at the threshold t:
   and one of any |B| - ceil(t/(2-t) |B|) + 1 bigrams of B is in A. For each template a few
   words are chosen that so many of its bigrams hold; a unit with none of them can't match.
 
+Near-equal licences match in the same place, so the runs are folded once in order of their
+begin: of those that overlap the best one is left, of equal scores that of the longer
+template. A line that is only part of a longer notice found in the text (BSD's first
+sentence) gives no name of its own.
+
 All of it is built-in expressions over one row; only rows with an anchor are normalised,
 only lines with one get as far as bigrams, and runs are only where one is. No shuffle.
-Long licences are known by their opening paragraphs, which a full copy has.
+Long licences are known by a few of their paragraphs, openings and others.
 """
 
 from __future__ import annotations
@@ -31,12 +36,15 @@ TEMPLATES = {
     "agpl-3.0/header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "agpl-3.0/opening": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "apache-2.0/grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
     "apache-2.0/header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "apache-2.0/notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "apache-2.0/opening": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. \"Licensor\" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.",
+    "artistic-2.0/opening": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble This license establishes the terms under which a given free software Package may be copied, modified, distributed, and/or redistributed.",
     "bsd-2-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-3-clause/clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-3-clause/full": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsl-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
     "cc-by-4.0": "Licensed under CC BY 4.0.",
     "cc-by-4.0/notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -46,17 +54,21 @@ TEMPLATES = {
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "cc-by-sa-4.0/notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "cc0-1.0": "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law.",
+    "gpl-2.0/ending": "This General Public License does not permit incorporating your program into proprietary programs. If your program is a subroutine library, you may consider it more useful to permit linking proprietary applications with the library. If this is what you want to do, use the GNU Lesser General Public License instead of this License.",
     "gpl-2.0/header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "gpl-2.0/opening": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The licenses for most software are designed to take away your freedom to share and change it.",
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0/ending": "The GNU General Public License does not permit incorporating your program into proprietary programs. If your program is a subroutine library, you may consider it more useful to permit linking proprietary applications with the library. If this is what you want to do, use the GNU Lesser General Public License instead of this License. But first, please read",
     "gpl-3.0/header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl-3.0/opening": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works.",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "lgpl-2.1/header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-2.1/opening": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc. 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. This is the first released version of the Lesser GPL. It also counts as the successor of the GNU Library Public License, version 2, hence the version number 2.1. Preamble The licenses for most software are designed to take away your freedom to share and change it.",
     "lgpl-3.0/opening": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below.",
     "mit": "Released under the MIT License.",
     "mit/full": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "mit/permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "mpl-1.1/header": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "mpl-2.0/notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "mpl-2.0/opening": "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software. 1.2. \"Contributor Version\" means the combination of the Contributions of others (if any) used by a Contributor and that particular Contributor's Contribution.",
@@ -118,15 +130,23 @@ def anchor_places(templates: dict[str, str], threshold: float) -> list[tuple[str
     return out
 
 
+def parts_of(templates: dict[str, str]) -> list[tuple[str, str]]:
+    """Pairs of a template and a longer one that has nine tenths of its bigrams, of different licences."""
+    sets = {k: set(bigrams(normal_words(t))) for k, t in templates.items()}
+    return [(a, b) for a in sorted(sets) for b in sorted(sets) if sets[a] and a.split("/")[0] != b.split("/")[0] and len(sets[b]) > len(sets[a]) and 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a])]
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, license, score, n_units, licenses.
 
     The units of a text are its lines, the whole text if it has several, and the runs at
-    anchors. A unit has its best template, and of the runs that start at one place the best
-    one counts. n_units counts the lines (and the whole text) that reach ``threshold``,
-    licenses has the names of the licences of all units that do (sorted, comma-joined),
-    license and score are the best of all. Of equal scores the first template by name is
-    best. A text without a match, null and empty ones too, has a null license, score 0.0,
+    anchors. A unit has its best template; runs at or above ``threshold`` are gone through
+    by their begin (then name), and one that overlaps the last kept one takes its place if
+    it is better. n_units counts the lines (and the whole text) that reach ``threshold``,
+    licenses has the names of the licences of these and of the kept runs (sorted,
+    comma-joined), without lines that are a part of a longer template among the kept runs;
+    license and score are the best of all. Of equal scores the longer template is better,
+    then the first by name. A text without a match, null and empty ones too, has a null license, score 0.0,
     no units and empty licenses. Repeated rows give repeated results; an empty table gives
     no rows; other columns are not read.
     """
@@ -146,9 +166,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     entries = [f"named_struct('name', {_sql(n)}, 'b', array({', '.join(map(_sql, b))}), 'lo', {lo}, 'hi', {hi}, 'n', {len(normal_words(templates[n]))})" for n, b, lo, hi, _ in rows]
     table = f"array({', '.join(entries)})" if rows else "cast(array() as array<struct<name:string,b:array<string>,lo:int,hi:int,n:int>>)"
     dice = "2D * size(array_intersect(a, m.b)) / (size(a) + size(m.b))"
-    scores = f"transform(filter({table}, m -> size(a) between m.lo and m.hi), m -> named_struct('score', {dice}, 'name', m.name))"
-    better = lambda x, y: f"({y}.score > {x}.score or ({y}.score = {x}.score and {y}.name < {x}.name))"
-    best = f"aggregate({scores}, named_struct('score', 0D, 'name', cast(null as string)), (s, c) -> if({better('s', 'c')}, c, s))"
+    scores = f"transform(filter({table}, m -> size(a) between m.lo and m.hi), m -> named_struct('score', {dice}, 'n', m.n, 'name', m.name))"
+    better = lambda x, y: f"({y}.score > {x}.score or ({y}.score = {x}.score and ({y}.n > {x}.n or ({y}.n = {x}.n and {y}.name < {x}.name))))"
+    none = "named_struct('score', 0D, 'n', 0, 'name', cast(null as string))"
+    best = f"aggregate({scores}, {none}, (s, c) -> if({better('s', 'c')}, c, s))"
     marked = own.select("doc_id", "t", F.lower("t").alias("v")).select("doc_id", "t", F.expr(some_anchor).alias("some"))
     some = marked.select(
         "doc_id",
@@ -159,14 +180,20 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     is_anchor = " or ".join([*([f"h.w in ({', '.join(map(_sql, singles))})"] if singles else []), *([f"h.b in ({', '.join(map(_sql, doubles))})"] if doubles else [])]) or "false"
     hits = f"filter(transform(words, (y, i) -> named_struct('w', y, 'b', concat(y, ' ', get(words, i + 1)), 'i', i)), h -> {is_anchor})"
     at = f"array({', '.join(f"named_struct('a', {_sql(a)}, 't', {k}, 'o', {o})" for a, k, o in places)})" if places else "cast(array() as array<struct<a:string,t:int,o:int>>)"
-    windows = f"array_distinct(flatten(transform({hits}, h -> transform(filter({at}, p -> p.a = h.w or p.a = h.b), p -> named_struct('s', greatest(0, h.i - p.o), 't', p.t)))))"
-    run = f"transform(array({table}[p.t]), m -> transform(array(transform(array(slice(words, p.s + 1, m.n)), w -> {bigram_set})[0]), a -> named_struct('s', p.s, 'score', {dice}, 'name', m.name))[0])[0]"
-    runs = f"filter(transform({windows}, p -> {run}), r -> r.score >= {threshold}D)" if rows else "cast(array() as array<struct<s:int,score:double,name:string>>)"
+    kinds = max(len(rows), 1)  # a window is one number, so that repeated ones are found by hash
+    windows = f"array_distinct(flatten(transform({hits}, h -> transform(filter({at}, p -> p.a = h.w or p.a = h.b), p -> greatest(0, h.i - p.o) * {kinds}L + p.t))))"
+    run = f"transform(array({table}[cast(p % {kinds} as int)]), m -> transform(array(transform(array(slice(words, cast(p div {kinds} as int) + 1, m.n)), w -> {bigram_set})[0]), a -> named_struct('s', cast(p div {kinds} as int), 'name', m.name, 'score', {dice}, 'n', m.n))[0])[0]"
+    runs = f"array_sort(filter(transform({windows}, p -> {run}), r -> r.score >= {threshold}D))" if rows else "cast(array() as array<struct<s:int,name:string,score:double,n:int>>)"
     scored = some.select("doc_id", F.expr(f"filter(transform({sets}, a -> {best}), s -> s.score >= {threshold}D)").alias("hits"), F.expr(runs).alias("runs"))
-    first = f"transform(filter(runs, r -> not exists(runs, q -> q.s = r.s and {better('r', 'q')})), r -> named_struct('score', r.score, 'name', r.name))"
-    every = scored.select("doc_id", F.expr("size(hits)").cast("long").alias("n_units"), F.expr(f"concat(hits, {first})").alias("every"))
-    top = f"aggregate(every, named_struct('score', 0D, 'name', cast(null as string)), (s, c) -> if({better('s', 'c')}, c, s))"
-    names = "array_join(array_sort(array_distinct(transform(every, e -> split(e.name, '/')[0]))), ',')"
+    # the kept run so far, and the names of those before it: as many as there are templates at most
+    empty = "named_struct('last', cast(null as struct<s:int,name:string,score:double,n:int>), 'names', cast(array() as array<string>))"
+    done = "if(z.last is null, z.names, array_union(z.names, array(z.last.name)))"
+    step = f"if(z.last is not null and r.s < z.last.s + z.last.n, if({better('z.last', 'r')}, named_struct('last', r, 'names', z.names), z), named_struct('last', r, 'names', {done}))"
+    kept = f"aggregate(runs, {empty}, (z, r) -> {step}, z -> {done})"
+    every = scored.select("doc_id", F.expr("size(hits)").cast("long").alias("n_units"), "hits", F.expr(kept).alias("kept"), F.expr("concat(hits, transform(runs, r -> named_struct('score', r.score, 'n', r.n, 'name', r.name)))").alias("every"))
+    top = f"aggregate(every, {none}, (s, c) -> if({better('s', 'c')}, c, s))"
+    hidden = " or ".join(f"(h.name = {_sql(x)} and array_contains(kept, {_sql(y)}))" for x, y in parts_of(templates)) or "false"
+    names = f"array_join(array_sort(array_distinct(transform(concat(transform(filter(hits, h -> not ({hidden})), h -> h.name), kept), e -> split(e, '/')[0]))), ',')"
     out = every.select("doc_id", "n_units", F.expr(names).alias("licenses"), F.expr(top).alias("top"))
     return out.select("doc_id", F.expr("split(top.name, '/')[0]").alias("license"), F.col("top.score").alias("score"), "n_units", "licenses")
 
@@ -177,9 +204,11 @@ def oracle(threshold: float = THRESHOLD) -> str:
     found = template_rows(TEMPLATES, threshold)
     rows = ", ".join(f"({k}, {lit(n)}, [{', '.join(map(lit, pairs))}], {len(normal_words(TEMPLATES[n]))})" for k, (n, pairs, *_) in enumerate(found))
     places = ", ".join(f"({lit(a)}, {k}, {o})" for a, k, o in anchor_places(TEMPLATES, threshold))
+    hidden = ", ".join(f"({lit(x)}, {lit(y)})" for x, y in parts_of(TEMPLATES))
     pairs = "CASE WHEN len(w) < 2 THEN [] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END"
     return f"""
-WITH templates(t, name, b, n) AS (VALUES {rows}),
+WITH RECURSIVE templates(t, name, b, n) AS (VALUES {rows}),
+parts(x, y) AS (VALUES {hidden}),
 anchors(a, t, o) AS (VALUES {places}),
 norm AS (SELECT row_number() OVER () AS rid, doc_id, lower(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9\\n]+', ' ', 'g')) AS n FROM documents),
 units AS (
@@ -189,22 +218,28 @@ units AS (
 numbered AS (SELECT row_number() OVER () AS uid, rid, list_filter(string_split(u, ' '), lambda w: w <> '') AS w FROM units),
 sets AS (SELECT uid, rid, {pairs} AS a FROM numbered),
 scored AS (
-  SELECT uid, rid, name, 2::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS score
+  SELECT uid, rid, name, n, 2::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS score
   FROM sets, templates WHERE len(a) BETWEEN {threshold} / (2 - {threshold}) * len(b) - 1e-9 AND (2 - {threshold}) / {threshold} * len(b) + 1e-9
 ),
-best AS (SELECT rid, name, score FROM scored WHERE score >= {threshold} QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, name) = 1),
+best AS (SELECT rid, name, score, n FROM scored WHERE score >= {threshold} QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, n DESC, name) = 1),
 spoken AS (SELECT rid, list_filter(string_split(replace(n, chr(10), ' '), ' '), lambda w: w <> '') AS w FROM norm),
 placed AS (SELECT rid, i - 1 AS i, w[i] AS one, w[i] || ' ' || w[i + 1] AS two FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM spoken)),
 windows AS (SELECT DISTINCT rid, greatest(0, i - o) AS s, t FROM placed JOIN anchors ON one = a UNION SELECT DISTINCT rid, greatest(0, i - o), t FROM placed JOIN anchors ON two = a),
-cut AS (SELECT rid, s, name, b, list_slice(w, s + 1, s + n) AS w FROM windows JOIN spoken USING (rid) JOIN templates USING (t)),
-runs AS (SELECT rid, s, name, 2::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS score FROM (SELECT rid, s, name, b, {pairs} AS a FROM cut)),
-firsts AS (SELECT rid, name, score FROM runs WHERE score >= {threshold} QUALIFY row_number() OVER (PARTITION BY rid, s ORDER BY score DESC, name) = 1),
-every AS (SELECT rid, name, score, 1 AS unit FROM best UNION ALL SELECT rid, name, score, 0 FROM firsts),
+cut AS (SELECT rid, s, n, name, b, list_slice(w, s + 1, s + n) AS w FROM windows JOIN spoken USING (rid) JOIN templates USING (t)),
+runs AS (SELECT rid, s, n, name, 2::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS score FROM (SELECT rid, s, n, name, b, {pairs} AS a FROM cut)),
+sorted AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY s, name) AS k FROM runs WHERE score >= {threshold}),
+fold AS (
+  SELECT rid, k, s, n, name, score, NULL::VARCHAR AS done FROM sorted WHERE k = 1
+  UNION ALL
+  SELECT f.rid, r.k, CASE WHEN takes THEN r.s ELSE f.s END, CASE WHEN takes THEN r.n ELSE f.n END, CASE WHEN takes THEN r.name ELSE f.name END, CASE WHEN takes THEN r.score ELSE f.score END, CASE WHEN r.s >= f.s + f.n THEN f.name END
+  FROM fold f JOIN sorted r ON r.rid = f.rid AND r.k = f.k + 1, LATERAL (SELECT r.s >= f.s + f.n OR r.score > f.score OR (r.score = f.score AND (r.n > f.n OR (r.n = f.n AND r.name < f.name))) AS takes)
+),
+kept AS (SELECT rid, done AS name FROM fold WHERE done IS NOT NULL UNION SELECT rid, name FROM fold QUALIFY row_number() OVER (PARTITION BY rid ORDER BY k DESC) = 1),
+named AS (SELECT rid, split_part(name, '/', 1) AS name FROM kept UNION SELECT rid, split_part(name, '/', 1) FROM best WHERE NOT EXISTS (SELECT 1 FROM parts JOIN kept ON kept.name = y AND kept.rid = best.rid WHERE x = best.name)),
+every AS (SELECT rid, name, score, n, 1 AS unit FROM best UNION ALL SELECT rid, name, score, n, 0 FROM runs WHERE score >= {threshold}),
 per AS (
-  SELECT rid, sum(unit) AS n_units, string_agg(DISTINCT split_part(name, '/', 1), ',' ORDER BY split_part(name, '/', 1)) AS licenses,
-    max(score) AS score, split_part((list(name ORDER BY score DESC, name))[1], '/', 1) AS license
-  FROM every GROUP BY rid
+  SELECT rid, sum(unit) AS n_units, max(score) AS score, split_part((list(name ORDER BY score DESC, n DESC, name))[1], '/', 1) AS license FROM every GROUP BY rid
 )
 SELECT doc_id, license, coalesce(score, 0)::DOUBLE AS score, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(licenses, '') AS licenses
-FROM norm LEFT JOIN per USING (rid)
+FROM norm LEFT JOIN per USING (rid) LEFT JOIN (SELECT rid, string_agg(name, ',' ORDER BY name) AS licenses FROM named GROUP BY rid) USING (rid)
 """

@@ -45,40 +45,52 @@ def rates(docs: DataFrame, work: Workspace, weights: dict[str, float] | None = N
     return own.select("source", F.when(F.col("weight") > 0, share).otherwise(0.0).alias("rate"))
 
 
-def _copies(seed: str) -> str:
-    """Poisson numbers of mean ``rate`` as SQL; the probabilities are summed until they pass u."""
-    unit = f"cast(conv(substr(md5(concat('{seed}:count:', __key, ':', j)), 1, 13), 16, 10) as bigint) / 4503599627370496D"
+def _copies(seed: str, own: str) -> str:
+    """Poisson numbers of mean ``{own}rate`` as SQL, ``own`` being the prefix of helper columns; the probabilities are summed until they pass u."""
+    unit = f"cast(conv(substr(md5(concat('{seed}:count:', {own}key, ':', j)), 1, 13), 16, 10) as bigint) / 4503599627370496D"
     drawn = (
         "aggregate(sequence(1, cast(ceil(lam + 12 * sqrt(lam)) as int) + 24), "
         "named_struct('p', exp(-lam), 'c', exp(-lam), 'n', 0), "
         "(s, k) -> named_struct('p', s.p * lam / k, 'c', s.c + s.p * lam / k, 'n', s.n + if(s.c <= u, 1, 0)), s -> cast(s.n as bigint))"
     )
     one = f"transform(array({unit}), u -> {drawn})[0]"
-    parts = f"greatest(1L, cast(ceil(__rate / {PART_RATE}D) as bigint))"
-    return f"if(__rate <= 0, 0L, aggregate(sequence(1L, {parts}), 0L, (acc, j) -> acc + transform(array(__rate / {parts}), lam -> {one})[0]))"
+    parts = f"greatest(1L, cast(ceil({own}rate / {PART_RATE}D) as bigint))"
+    return f"if({own}rate <= 0, 0L, aggregate(sequence(1L, {parts}), 0L, (acc, j) -> acc + transform(array({own}rate / {parts}), lam -> {one})[0]))"
 
 
-def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
-    """``docs`` with each row as often as it is drawn, and ``__copy`` from 1 on, in no order.
+def _prefix(columns: list[str]) -> str:
+    """A prefix that no column has, for helper columns."""
+    out = "__mix_"
+    while any(c.lower().startswith(out) for c in columns):
+        out += "_"
+    return out
 
-    Where a rate is high (a source with little text and a large weight), rows drawn more
-    than ``CHUNK`` times are first made into chunks of so many copies, which are spread
-    over all tasks before they are written out one by one.
+
+def replicated(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> tuple[DataFrame, str]:
+    """``docs`` with each row as often as it is drawn, in no order, and the prefix of three columns more.
+
+    These are ``copy``, from 1 on, ``key``, the doc_id as text, and ``place``, where the copy
+    goes. The prefix is one that no column of ``docs`` has. Where a rate is high (a source with little
+    text and a large weight), rows drawn more than ``CHUNK`` times are first made into
+    chunks of so many copies, which are spread over all tasks before they are written out
+    one by one.
     """
-    work = Workspace(docs.sparkSession, "mixing")
-    rate = work.write(rates(docs, work, weights, epochs), "rates").select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    drawn = docs.join(rate, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__key", key).withColumn("__count", F.expr(_copies(seed)))
-    copies = lambda rows, first: rows.withColumn("__copy", F.explode(F.expr(f"sequence({first} + 1, least(__count, {first} + {CHUNK}))")))
-    highest = rate.agg(F.max("__rate")).first()[0] or 0.0
+    work, p = Workspace(docs.sparkSession, "mixing"), _prefix(docs.columns)
+    rate = work.write(rates(docs, work, weights, epochs), "rates").select(F.col("source").alias(f"{p}source"), F.col("rate").alias(f"{p}rate"))
+    key = F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))
+    drawn = docs.join(rate, docs["source"].eqNullSafe(F.col(f"{p}source"))).withColumn(f"{p}key", key).withColumn(f"{p}count", F.expr(_copies(seed, p)))
+    copies = lambda rows, first: rows.withColumn(f"{p}copy", F.explode(F.expr(f"sequence({first} + 1, least({p}count, {first} + {CHUNK}))")))
+    highest = rate.agg(F.max(f"{p}rate")).first()[0] or 0.0
     if highest < CHUNK / 4:  # then no more than CHUNK copies but for a chance below 1e-300
-        out = drawn.where("__count > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__count"))))
-        return out.drop("__source", "__rate", "__count")
-    some = copies(drawn.where(f"__count between 1 and {CHUNK}"), "0L")
-    chunks = drawn.where(f"__count > {CHUNK}").withColumn("__first", F.explode(F.expr(f"sequence(0L, __count - 1, {CHUNK}L)")))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = copies(chunks.repartition(parts, "__key", "__first"), "__first").drop("__first")
-    return some.unionByName(many).drop("__source", "__rate", "__count")
+        out = drawn.where(f"{p}count > 0").withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{p}count"))))
+    else:
+        some = copies(drawn.where(f"{p}count between 1 and {CHUNK}"), "0L")
+        chunks = drawn.where(f"{p}count > {CHUNK}").withColumn(f"{p}first", F.explode(F.expr(f"sequence(0L, {p}count - 1, {CHUNK}L)")))
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        many = copies(chunks.repartition(parts, f"{p}key", f"{p}first"), f"{p}first").drop(f"{p}first")
+        out = some.unionByName(many)
+    place = F.expr(f"cast(conv(substr(md5(concat('{seed}:place:', {p}key, ':', {p}copy)), 1, 15), 16, 10) as bigint)")
+    return out.drop(f"{p}source", f"{p}rate", f"{p}count").withColumn(f"{p}place", place), p
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
@@ -90,18 +102,17 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     nothing but are drawn at their source's rate. A source with little text is repeated
     until it has its share: one document of one letter beside 6 MB of another source is
     drawn some three million times, each copy a row. An empty table gives no rows; columns of
-    other names are dropped.
+    other names are dropped, whatever they are.
     """
     own = docs.select("doc_id", "text", F.col("source").cast("string").alias("source"))
-    place = F.expr(f"cast(conv(substr(md5(concat('{seed}:place:', __key, ':', __copy)), 1, 15), 16, 10) as bigint)")
-    out = replicated(own, weights, epochs, seed).select("doc_id", "source", F.col("__copy").alias("copy"), place.alias("shuffle_key"), "text")
-    return out.orderBy("shuffle_key", "doc_id", "copy")
+    out, p = replicated(own, weights, epochs, seed)
+    return out.select("doc_id", "source", F.col(f"{p}copy").alias("copy"), F.col(f"{p}place").alias("shuffle_key"), "text").orderBy("shuffle_key", "doc_id", "copy")
 
 
 def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
-    """The mixture with the columns of ``docs``: what a training job reads in file order."""
-    place = F.expr(f"cast(conv(substr(md5(concat('{seed}:place:', __key, ':', __copy)), 1, 15), 16, 10) as bigint)")
-    return replicated(docs, weights, epochs, seed).withColumn("__place", place).orderBy("__place", "__key", "__copy").select(*docs.columns)
+    """The mixture with the columns of ``docs``, whatever their names: what a training job reads in file order."""
+    out, p = replicated(docs, weights, epochs, seed)
+    return out.orderBy(f"{p}place", f"{p}key", f"{p}copy").select(*docs.columns)
 
 
 #: ``mix`` with its defaults, for DuckDB.

@@ -4,8 +4,10 @@ Candidate strings are runs of the characters that keys and tokens are made of. E
 in a class by its characters; a window slides over it and its entropy is kept up by the
 counts of the one character that leaves and the one that enters. Windows at or above the
 class's threshold make spans, unless the allow-list suppresses them: whole candidates that
-are UUIDs, numbers or plain words, or that lie in the host or path of a URL (not in its
-query) or beside the @ of an e-mail address; and windows that overlap a placeholder.
+are UUIDs, numbers or plain words, or beside the @ of an e-mail address; the host of a URL
+or connection string and those parts of its path that are words and numbers; and windows
+that overlap a placeholder. The user-info of a URL, its query, and parts of its path that
+mix letters and digits are scanned like other text, each part by itself.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ _ALLOWED = [
 ]
 #: Windows that overlap one of these are suppressed; the rest of the candidate isn't.
 _PLACEHOLDER = re.compile(r"example|placeholder|changeme|x{6,}|0{8,}|12345678", re.IGNORECASE)
-_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^\x00-\x20?#=&\"'<>]*")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://([^\x00-\x20/?#\"'<>]*)[^\x00-\x20?#=&\"'<>]*")
+_WORDY = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[_+-](?:[A-Za-z]+|[0-9]+)?)*")
 
 
 def window_entropy(counts: dict[str, int], size: int) -> float:
@@ -89,26 +92,50 @@ def allowed(text: str) -> bool:
     return any(p.fullmatch(text) for p in _ALLOWED)
 
 
+def _pieces(a: int, b: int, urls: list[tuple[int, int, int, int]], text: str) -> Iterator[tuple[int, int, bool]]:
+    """The parts of the candidate from ``a`` to ``b`` that are scanned, and whether each lies in a URL.
+
+    ``urls`` are the begin, host, end of the host, and end of those that it overlaps.
+    """
+    for begin, host, path, end in urls:
+        if a < begin:
+            yield a, min(b, begin), False
+        for low, high in ((max(a, begin), min(b, host)), (max(a, path), min(b, end))):
+            while low < high:
+                cut = text.find("/", low, high)
+                cut = high if cut < 0 else cut
+                yield low, cut, True
+                low = cut + 1
+        a = max(a, end)
+    if a < b:
+        yield a, b, False
+
+
 def _entropy_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the entropy classes, from the candidates that are not on the allow-list."""
     out: list[tuple[str, int, int]] = []
-    urls = [m.span() for m in _URL.finditer(text)] if "://" in text else []
+    urls = []
+    for m in _URL.finditer(text) if "://" in text else []:
+        info = text.rfind("@", *m.span(1))
+        urls.append((m.start(), m.start(1) if info < 0 else info + 1, m.end(1), m.end()))
     k = 0
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        word = m[0]
-        kind = string_class(word)
-        if not kind or allowed(word) or text[a - 1 : a] == "@" or text[b : b + 1] == "@":
-            continue
-        while k < len(urls) and urls[k][1] <= a:
+        while k < len(urls) and urls[k][3] <= a:
             k += 1
-        if k < len(urls) and urls[k][0] < b:
-            continue
-        size, least = WINDOWS[kind]
-        at = 0
-        for start, end in [*(p.span() for p in _PLACEHOLDER.finditer(word)), (len(word), len(word))]:
-            out += [(kind, a + at + i, a + at + j) for i, j in entropy_runs(word[at:start], size, least)]
-            at = end
+        own = k
+        while own < len(urls) and urls[own][0] < b:
+            own += 1
+        for a, b, inside in _pieces(*m.span(), urls[k:own], text):
+            word = text[a:b]
+            kind = string_class(word) if b - a >= 20 else None
+            if not kind or allowed(word) or (_WORDY.fullmatch(word) if inside else text[a - 1 : a] == "@" or text[b : b + 1] == "@"):
+                continue
+            size, least = WINDOWS[kind]
+            at = 0
+            for start, end in [*(p.span() for p in _PLACEHOLDER.finditer(word)), (len(word), len(word))]:
+                out += [(kind, a + at + i, a + at + j) for i, j in entropy_runs(word[at:start], size, least)]
+                at = end
     return out
 
 

@@ -268,7 +268,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit numbers."""
-        pieces = [[t] if len(t) <= PIECE_CHARS else list(cut_long(t, PIECE_CHARS)) for t in texts]
+        pieces = [[t] if len(t) <= PIECE_CHARS or not self.known else list(cut_long(t, PIECE_CHARS)) for t in texts]
         flat = list(chain.from_iterable(pieces))
         done: list[np.ndarray] = []
         while (k := len(done)) < len(flat):
