@@ -7,9 +7,10 @@ Documents are sets of word shingles; two link when their Jaccard similarity is a
    one signature are one class from here on, so copies are never paired.
 2. Every text is read again; its shingles are dealt out in packed blocks by hash range. A
    block range counts in how many classes each shingle is, and sends on only shingles of
-   two classes or more, with that count: no other shingle can be in a link. Shingles that
-   a large share of all texts have were counted in step 1; they are dealt by class too, so
-   no task gets all classes of one.
+   two classes or more, with that count: no other shingle can be in a link. No task gets all
+   classes of a shingle that very many have, nor all copies of one class: such shingles are
+   dealt by class too, and of such a class one row is dealt. Both lists are made before,
+   from step 1, by counts over the whole table, and have a bound of their own.
 3. A class knows its size and its shared shingles. Ordered rarest first, its unshared
    shingles come before the shared ones, so a class with as many unshared shingles as its
    prefix is long is done. The rest (texts with near copies) are the table ``sets``.
@@ -49,8 +50,11 @@ from corpuslens.llm.store import Workspace
 THRESHOLD = 75
 #: Shingles in one block range, and the least number of ranges.
 RANGE_SHINGLES, LEAST_RANGES = 3_000_000, 64
-#: A shingle that this share of the classes of a slice have, and so many of all, is hot.
-HOT_SHARE, HOT_LEAST = 1 / 128, 2_000
+#: A shingle of this share of a block range in classes is hot; the most of them, and the
+#: classes that count for one in the classes counted (a fixed share of them, by signature).
+HOT_SHARE, HOT_MOST, HOT_COUNTED = 1 / 8, 1 << 22, 1024
+#: Rows of which a class is dealt by one only, and the most such classes.
+HEAVY_LEAST, HEAVY_MOST = 256, 1 << 18
 #: Hashes under which classes are first held against a central one.
 STARS = 4
 #: 64-bit words of the parity sketch of a class's shared shingles.
@@ -66,14 +70,6 @@ def _sig_strings(sigs: np.ndarray) -> list[bytes]:
     return [raw[k : k + 16] for k in range(0, len(raw), 16)]
 
 
-def _frequent(ends: np.ndarray, hashes: np.ndarray, sigs: np.ndarray) -> bytes | None:
-    """Shingles that ``HOT_SHARE`` of the classes at hand have, with how many: pairs of 64-bit numbers."""
-    owner, hashes, classes = _of_classes(ends, hashes, sigs)
-    found, counts = np.unique(hashes, return_counts=True)
-    often = counts >= max(4, HOT_SHARE * classes)
-    return np.stack([found[often], counts[often].astype(np.uint64)], axis=1).tobytes() if often.any() else None
-
-
 def _of_classes(ends: np.ndarray, hashes: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Owner and hash of the shingles of the first text of each class, and the number of classes."""
     sizes = np.diff(ends, prepend=0)
@@ -84,41 +80,63 @@ def _of_classes(ends: np.ndarray, hashes: np.ndarray, sigs: np.ndarray) -> tuple
     return owner[once[owner]], hashes[once[owner]], len(first)
 
 
-def _set_rows(width: int):
+def _set_rows(width: int, every: int):
+    """Size and signature of each text's set; one class in ``every``, by signature, with its shingles."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 ends, hashes = shingle_sets(part.column(1), width)
                 sizes, sigs = np.diff(ends, prepend=0), signatures(ends, hashes)
-                often = [_frequent(ends, hashes, sigs), *[None] * (len(sizes) - 1)]
-                found = [pa.array(sizes), pa.array(_sig_strings(sigs), pa.binary()), pa.array(often, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *found, part.column(2)], ["doc_id", "n_shingles", "sig", "often", "digest"])
+                owner, own, _ = _of_classes(ends, hashes, sigs)  # copies within the part count once
+                told = sigs[owner, 1] % np.uint64(every) == 0
+                counts = np.bincount(owner[told], minlength=len(sizes))
+                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(counts == 0, False))
+                counted = pa.ListArray.from_arrays(offsets, pa.array(own[told].view(np.int64)))
+                found = [pa.array(sizes), pa.array(_sig_strings(sigs), pa.binary()), counted]
+                yield pa.RecordBatch.from_arrays([part.column(0), *found, part.column(2)], ["doc_id", "n_shingles", "sig", "counted", "digest"])
 
     return rows
 
 
-def _often_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            pairs = np.frombuffer(raw, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hash", "n"])
+def counted_share(range_shingles: int) -> int:
+    """One class in so many is counted to find hot shingles: a hot one has ``HOT_COUNTED`` of these."""
+    return max(1, int(HOT_SHARE * range_shingles) // HOT_COUNTED)
 
 
-def hot_shingles(classes: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that a large share of all texts have, sorted, and a count of their classes.
+def hot_shingles(classes: DataFrame, total: int, range_shingles: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that very many classes have, sorted, and an estimate of how many.
 
-    One in twice ``HOT_SHARE`` of the texts is found, as slices in which it has that share
-    have half of it. There are at most (mean set size) / ``HOT_SHARE`` such shingles,
-    whatever the number of texts: for sets of 1000, 128,000 of 16 bytes.
+    A shingle is hot from ``HOT_SHARE`` of a block range, or of ``2 / HOT_MOST`` of all
+    ``total`` shingles if that is more. It is looked for by a count over the whole table of
+    the classes that were told apart for it, each once, at half of the share that it must have there;
+    one of H classes or more is missed with a probability under exp(-H / 8 / every), 1e-55. A sum
+    of ``total`` holds at most ``HOT_MOST`` of these, 16 bytes each, whatever its size.
+    Results don't depend on what is found: only how shingles are dealt out does.
     """
-    counts = classes.where("often is not null").select("often").mapInArrow(_often_rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    least = max(HOT_LEAST, HOT_SHARE * total)
-    found = counts.where(F.col("n") >= least).toArrow()
-    hashes, n = found.column("hash").to_numpy().astype(np.int64).view(np.uint64), found.column("n").to_numpy()
+    every = counted_share(range_shingles)
+    least = max(HOT_SHARE * range_shingles, 2 * total / HOT_MOST) / 2 / every
+    once = classes.where("counted is not null").select("sig", F.explode("counted").alias("hash")).distinct()
+    found = once.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, least)).toArrow()
+    hashes, n = found.column("hash").to_numpy().astype(np.int64).view(np.uint64), found.column("n").to_numpy() * every
     order = np.argsort(hashes)
     return hashes[order], n[order]
 
 
+def heavy_classes(classes: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures (sorted by their first word) of classes of very many rows, and the least doc_id of each.
+
+    Very many is ``HEAVY_LEAST``, or ``1 / HEAVY_MOST`` of all ``total`` rows if that is
+    more, so there are at most ``HEAVY_MOST`` of them, 24 bytes each. A class without any
+    doc_id is none.
+    """
+    rows = classes.where("n_shingles > 0").groupBy("sig").agg(F.count("*").alias("m"), F.min("doc_id").alias("least"))
+    found = rows.where(F.col("m") >= max(HEAVY_LEAST, total / HEAVY_MOST)).where("least is not null").select("sig", "least").toArrow()
+    sigs = np.frombuffer(b"".join(found.column("sig").to_pylist()), "<u8").reshape(-1, 2)
+    _, first = np.unique(sigs[:, 0], return_index=True)
+    return sigs[first], found.column("least").to_numpy()[first]
+
+
 def _place(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
     """Where each hash is in ``hot``, or -1."""
     if not len(hot):
@@ -163,18 +181,30 @@ def _classes(sigs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dealt_rows(width: int, ranges: int, hot: np.ndarray):
-    """Shingles by hash range; those of ``hot`` by class and hash, in as many further parts."""
+def _dealt_rows(width: int, ranges: int, hot: np.ndarray, heavy: np.ndarray, least: np.ndarray):
+    """Shingles by hash range; those of ``hot`` by class and hash, in as many further parts.
+
+    Of a class in ``heavy`` only rows with its doc_id in ``least`` are dealt.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
-                ends, hashes = shingle_sets(part.column(0), width)
+            for part in slices(batch, 1):
+                ends, hashes = shingle_sets(part.column(1), width)
                 sigs, sizes = signatures(ends, hashes), np.diff(ends, prepend=0)
+                if len(heavy):
+                    at = _place(sigs[:, 0], heavy[:, 0])
+                    ids = part.column(0)
+                    named = ids.is_valid().to_numpy(zero_copy_only=False) & (ids.fill_null(0).to_numpy() == least[at])
+                    stays = (at < 0) | (sigs[:, 1] != heavy[at, 1]) | named
+                    hashes, sizes = hashes[np.repeat(stays, sizes)], np.where(stays, sizes, 0)
+                    ends = np.cumsum(sizes)
+                    sigs, sizes, ends = sigs[stays], sizes[stays], ends[stays]
                 owner, hashes, _ = _of_classes(ends, hashes, sigs)  # copies within the part count once
-                spread = np.where(_place(hashes, hot) < 0, hashes, mix(hashes ^ sigs[owner, 0]))
+                is_hot = _place(hashes, hot) >= 0
+                spread = np.where(is_hot, mix(hashes ^ sigs[owner, 0]), hashes)
                 keys = ((spread >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
-                keys[_place(hashes, hot) >= 0] += ranges
+                keys[is_hot] += ranges
                 if packed := list(_packed(keys, sigs, sizes, owner, hashes)):
                     yield _run_batch(packed)
 
@@ -327,20 +357,27 @@ class _Linker:
         self.links = links if self.links is None else self.links.unionByName(links)
 
 
-def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH, digest: Column | None = None) -> DataFrame:
+def shingle_classes(docs: DataFrame, work: Workspace, width: int = WIDTH, digest: Column | None = None, range_shingles: int = RANGE_SHINGLES) -> DataFrame:
     """``(doc_id, n_shingles, sig, digest)`` of every row; the signature of an empty set is 0."""
     digest = F.lit(None) if digest is None else digest
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), digest.cast("binary").alias("digest"))
-    return work.write(text.mapInArrow(_set_rows(width), "doc_id long, n_shingles long, sig binary, often binary, digest binary"), "classes")
+    kinds = "doc_id long, n_shingles long, sig binary, counted array<long>, digest binary"
+    return work.write(text.mapInArrow(_set_rows(width, counted_share(range_shingles)), kinds), "classes")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> tuple[DataFrame, DataFrame]:
-    """``(links, sets)``: links ``(a, b)`` between signatures whose closure is exact."""
+def dealt_shingles(docs: DataFrame, classes: DataFrame, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> tuple[DataFrame, int, np.ndarray, np.ndarray]:
+    """Packed shingles by part (hash ranges, then as many parts of hot ones), the ranges, and the hot shingles."""
     rows_, total = classes.agg(F.count("*"), F.sum("n_shingles")).first()
     total = total or 0
-    hot, hot_counts = hot_shingles(classes, rows_)
+    hot, hot_counts = hot_shingles(classes, total, range_shingles)
     ranges = max(LEAST_RANGES, -(-total // range_shingles))
-    dealt = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_dealt_rows(width, ranges, hot), _RUNS)
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return text.mapInArrow(_dealt_rows(width, ranges, hot, *heavy_classes(classes, rows_)), _RUNS), ranges, hot, hot_counts
+
+
+def class_links(docs: DataFrame, classes: DataFrame, work: Workspace, threshold: int = THRESHOLD, width: int = WIDTH, range_shingles: int = RANGE_SHINGLES) -> tuple[DataFrame, DataFrame]:
+    """``(links, sets)``: links ``(a, b)`` between signatures whose closure is exact."""
+    dealt, ranges, hot, hot_counts = dealt_shingles(docs, classes, width, range_shingles)
     shared = dealt.groupBy("part").applyInArrow(_shared_rows(ranges, hot, hot_counts), _RUNS)
     sets = shared.groupBy("part").applyInArrow(_candidate_rows(threshold), _SETS)
     sets = work.write(sets, "sets")
@@ -384,7 +421,7 @@ def ngram_components(docs: DataFrame, threshold: int = THRESHOLD, width: int = W
     rows. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "ngram-join")
-    classes = shingle_classes(docs, work, width)
+    classes = shingle_classes(docs, work, width, range_shingles=range_shingles)
     links, _ = class_links(docs, classes, work, threshold, width, range_shingles)
     rooted = _rooted(classes.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("least")), links, work)
     ids = work.write(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root-ids")

@@ -627,13 +627,55 @@ def test_op1_hot_shingles_are_dealt_by_class(spark, monkeypatch):
     made = {i: t + " " + page if i % 3 else page + " " + t for i, t in made.items()}
     df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
     want = brute_components(word_sets(made))
-    monkeypatch.setattr(ngram_join, "HOT_LEAST", 4)
     work = Workspace(spark, "t")
-    hot, counts = ngram_join.hot_shingles(ngram_join.shingle_classes(df, work), len(made))
-    assert len(hot) >= 26 and len(set(made.values())) <= counts.max() <= len(made)  # copies count once a slice
-    for least in (4, 2_000):
-        monkeypatch.setattr(ngram_join, "HOT_LEAST", least)
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, range_shingles=500).collect()} == want
+    classes = ngram_join.shingle_classes(df, work, range_shingles=80)
+    dealt, ranges, hot, counts = ngram_join.dealt_shingles(df, classes, range_shingles=80)
+    assert len(hot) >= 26 and counts.max() == len({frozenset(x) for x in word_sets(made).values()})  # each class once
+    assert most_classes(dealt, hot) <= 12  # of about 90: the hot ones are spread over `ranges` parts
+    for size, counted, heavy in ((500, 16, 2), (10**6, 1024, 256)):
+        monkeypatch.setattr(ngram_join, "HOT_COUNTED", counted)
+        monkeypatch.setattr(ngram_join, "HEAVY_LEAST", heavy)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(df, range_shingles=size).collect()} == want
+
+
+def most_classes(dealt, hot):
+    """The most classes of one of the shingles of ``hot`` that meet in one part."""
+    met = {}
+    for r in dealt.collect():
+        sigs, counts = np.frombuffer(r.sigs, "<u8").reshape(-1, 2)[:, 0], np.frombuffer(r.counts, "<i4")
+        tokens = np.frombuffer(r.tokens, "<u8")
+        for sig, token in zip(np.repeat(sigs, counts).tolist(), tokens.tolist(), strict=True):
+            met.setdefault((r.part, token), set()).add(sig)
+    wanted = set(hot.tolist())
+    return max((len(v) for (_, token), v in met.items() if token in wanted), default=0)
+
+
+def test_op1_hot_shingles_are_found_in_long_texts(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    page = " ".join(f"page{k}" for k in range(20))
+    made = [(k, " ".join(f"w{v}" for v in rng.integers(0, 10**9, 1800)) + (" " + page if k % 50 == 0 else "")) for k in range(600)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(16)
+    assert min(len(t) for _, t in made) > 17_000  # about a hundred of these are a slice, so two of the 2 % are in it
+    monkeypatch.setattr(ngram_join, "HOT_SHARE", 12 / 30_000)
+    classes = ngram_join.shingle_classes(df, Workspace(spark, "t"), range_shingles=30_000)
+    dealt, _, hot, counts = ngram_join.dealt_shingles(df, classes, range_shingles=30_000)
+    assert len(hot) == 16 and set(counts.tolist()) == {12}
+    assert most_classes(dealt, hot) <= 3
+
+
+def test_op1_heavy_classes_are_dealt_once(spark, monkeypatch):
+    text, other = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    made = [(k, text) for k in range(5, 60)] + [(None, text), (5, text), (3, text + " tail"), (None, other), (None, other), (80, other + " end")]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(12)
+    monkeypatch.setattr(ngram_join, "HEAVY_LEAST", 2)
+    classes = ngram_join.shingle_classes(df, Workspace(spark, "t"))
+    sigs, least = ngram_join.heavy_classes(classes, len(made))
+    assert len(sigs) == 1 and least.tolist() == [5]  # the other has no doc_id to be dealt by
+    dealt, *_ = ngram_join.dealt_shingles(df, classes)
+    sent = sum(np.frombuffer(r.sigs, "<u8").reshape(-1, 2)[:, 0].tolist().count(int(sigs[0, 0])) for r in dealt.collect())
+    assert sent <= 2 * 36  # its 36 shingles, by the two rows of doc_id 5 at most
+    got = sorted((r.doc_id or -1, r.component_id) for r in ngram_join.ngram_components(df).collect())
+    assert got == sorted([(k, 3) for k in range(5, 60)] + [(-1, 3), (5, 3), (3, 3), (-1, 80), (-1, 80), (80, 80)])
 
 
 def test_op8_names_are_places_in_sorted_order(spark):
