@@ -10,17 +10,17 @@ A shard holds documents in ascending order of their keys:
   length of the prefix shared with the key before it in the block, of the rest of the key
   and of the value, then the rest of the key and the value. A value is a byte for the ids'
   width (2 or 4), then the ids, little-endian.
-* The index has each block's last key (length and bytes), offset and length.
+* The index has each block's last key (length and bytes), offset, length and CRC.
 * The Bloom filter has ten bits a key and seven probes.
 * The footer of 72 bytes has the magic, the places of index and filter, the counts of
-  documents and ids, the shard's place in the order of shards, and a CRC of the index and
-  filter. One pad byte ends the file, as the writer ends each record with one.
+  documents and ids, the shard's place in the order of shards, and a CRC of the index, the
+  filter and the footer's other fields, so no changed byte passes. One pad byte ends the file, as the writer ends each record with one.
 
 Shards are written by Spark's own text writer as one record a file, so they get its
 commit protocol: a task that is lost and run again leaves no half-written shard, and any
 store that Spark writes to will do. That writer puts out the bytes of a string as they are,
 so a cast of the binary column to string, which Spark doesn't check, is all it takes; the
-CRC of each shard's index and the reader's frames would show a writer that did otherwise.
+CRC of each shard and those of its blocks would show a writer that did otherwise.
 Memory holds one shard of ``SHARD_BYTES`` at a time, in the worker and in the executor.
 """
 
@@ -83,6 +83,11 @@ def _probes(key: bytes, bits: int) -> list[int]:
     return [(a + k * b) % bits for k in range(PROBES)]
 
 
+def _checked(tail: bytes, fields: tuple) -> int:
+    """The CRC of index and filter, and of the footer's other fields."""
+    return zlib.crc32(_FOOTER.pack(*fields, 0, 0), zlib.crc32(tail))
+
+
 class ShardWriter:
     """Builds one shard in memory; keys must not fall."""
 
@@ -99,7 +104,7 @@ class ShardWriter:
     def _end_block(self) -> None:
         if self.block:
             data = self.pack(b"".join(self.block))
-            self.index.append((self.last, self.size, len(data)))
+            self.index.append((self.last, self.size, len(data), zlib.crc32(data)))
             self.parts.append(data)
             self.size += len(data)
             self._start_block()
@@ -122,15 +127,15 @@ class ShardWriter:
 
     def finish(self) -> bytes:
         self._end_block()
-        index = b"".join(_varint(len(k)) + k + _varint(at) + _varint(n) for k, at, n in self.index)
+        index = b"".join(_varint(len(k)) + k + _varint(at) + _varint(n) + _varint(crc) for k, at, n, crc in self.index)
         bits = max(64, BITS_A_KEY * len(self.keys))
         bloom = np.zeros(-(-bits // 8), np.uint8)
         for key in self.keys:
             for p in _probes(key, bits):
                 bloom[p >> 3] |= 1 << (p & 7)
         tail = index + bloom.tobytes()
-        footer = _FOOTER.pack(MAGIC, self.size, len(index), self.size + len(index), bits, len(self.keys), self.n_ids, self.place, zlib.crc32(tail), 0)
-        return b"".join([*self.parts, tail, footer])
+        fields = (MAGIC, self.size, len(index), self.size + len(index), bits, len(self.keys), self.n_ids, self.place)
+        return b"".join([*self.parts, tail, _FOOTER.pack(*fields, _checked(tail, fields), 0)])
 
 
 class Shard:
@@ -140,9 +145,10 @@ class Shard:
         import zstandard
 
         self.data, self.unpack = data, zstandard.ZstdDecompressor().decompress
-        magic, at, size, bloom, self.bits, self.n_docs, self.n_ids, self.place, crc, _ = _FOOTER.unpack_from(data, len(data) - 1 - _FOOTER.size)
+        *fields, crc, _ = _FOOTER.unpack_from(data, len(data) - 1 - _FOOTER.size)
+        magic, at, size, bloom, self.bits, self.n_docs, self.n_ids, self.place = fields
         tail = data[at : bloom + -(-self.bits // 8)]
-        if magic != MAGIC or zlib.crc32(tail) != crc:
+        if magic != MAGIC or _checked(tail, fields) != crc:
             raise ValueError("not a whole shard")
         self.bloom = tail[size:]
         self.last, self.where, k = [], [], 0
@@ -151,11 +157,15 @@ class Shard:
             self.last.append(tail[k : k + n])
             start, k = _read_varint(tail, k + n)
             n, k = _read_varint(tail, k)
-            self.where.append((start, n))
+            crc, k = _read_varint(tail, k)
+            self.where.append((start, n, crc))
 
     def _entries(self, block: int) -> Iterator[tuple[bytes, np.ndarray]]:
-        start, n = self.where[block]
-        data = self.unpack(self.data[start : start + n])
+        start, n, crc = self.where[block]
+        data = self.data[start : start + n]
+        if zlib.crc32(data) != crc:
+            raise ValueError("a block has changed")
+        data = self.unpack(data)
         at, key = 0, b""
         while at < len(data):
             shared, at = _read_varint(data, at)

@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import random
 import re
+import struct
 import time
 import zlib
 
@@ -548,6 +549,12 @@ def test_op9_shard_lookup(odd):
     assert not any(shard.get(k) for k in range(-499, 4000, 3)) and [k for k, _ in shard.scan()] == list(held)
     with pytest.raises(ValueError):
         sstable.Shard(b"x" * 100)
+    whole = w.finish() + b"\n"
+    for at in [*range(0, len(whole) - 5, 99_991), *range(len(whole) - 77, len(whole) - 5, 5)]:  # the last four bytes are spare, and the pad
+        bad = bytearray(whole)
+        bad[at] ^= 4
+        with pytest.raises((ValueError, struct.error)):
+            list(sstable.Shard(bytes(bad)).scan())
     assert sstable.token_shards(odd).count() == 9 and sstable.token_shards(odd.limit(0)).count() == 0
 
 
