@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -181,19 +183,25 @@ def legacy_dump_audit(t):
 
 
 @F.pandas_udf(LongType())
-def library_tokens(text: pd.Series) -> pd.Series:
-    """Tokens by the tiktoken library, or a quarter of the characters where it isn't installed."""
+def library_tokens(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Tokens by the tiktoken library, or a quarter of the characters where it isn't installed.
+
+    The vocabulary is read once a task. A null text has no tokens.
+    """
     try:
         import base64
 
         import public_tokenizers
         import tiktoken
     except ImportError:
-        return text.map(lambda t: -(-len(t or "") // 4))
+        for text in texts:
+            yield text.map(lambda t: -(-len(t or "") // 4))
+        return
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return text.map(lambda t: len(encode(t or "")))
+    for text in texts:
+        yield text.map(lambda t: len(encode(t or "")))
 
 
 @query()

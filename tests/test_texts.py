@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.functions import exprs as X
 from corpuslens.functions import udfs
+from corpuslens.plans.release import library_tokens
 
 
 def each(spark, values, make, schema="a string"):
@@ -49,3 +50,9 @@ def test_definition_is_the_first_line_that_defines(spark):
     text = 'the "Base Fee" of 5\nThe term “Base Fee”  shall\tmean the fee (x+y).\n"Base Fee" means 7\n"Base" means 8'
     assert each(spark, [text, "nothing", None], X.definition(F.col("a"), "base fee", 30)) == ["The term “Base Fee”  shall\tmea", None, None]
     assert each(spark, ['"A (b)+" has the meaning of c', '"A b" means'], X.definition(F.col("a"), "A (b)+", 99)) == ['"A (b)+" has the meaning of c', None]
+
+
+def test_library_tokens_of_null_and_empty_texts(spark):
+    made = spark.createDataFrame([(1, None), (2, ""), (3, "one word and another"), (4, "one word and another")], "k int, text string")
+    got = {r.k: r.n for r in made.select("k", library_tokens("text").alias("n")).collect()}
+    assert got[1] == got[2] == 0 and got[3] == got[4] > 0
