@@ -109,9 +109,9 @@ def hot_shingles(classes: DataFrame, total: int, range_shingles: int) -> tuple[n
 
     A shingle is hot from ``HOT_SHARE`` of a block range, or of ``2 / HOT_MOST`` of all
     ``total`` shingles if that is more. It is looked for by a count over the whole table of
-    the classes that were told apart for it, each once, at half of the share that it must have there;
-    one of H classes or more is missed with a probability under exp(-H / 8 / every), 1e-55. A sum
-    of ``total`` holds at most ``HOT_MOST`` of these, 16 bytes each, whatever its size.
+    one class in ``every``, chosen by signature, each class once; half of the number that is
+    expected there is enough, so a hot one is missed with a probability of about 1e-55. About
+    ``HOT_MOST`` shingles can be this frequent, 16 bytes each, whatever ``total`` is.
     Results don't depend on what is found: only how shingles are dealt out does.
     """
     every = counted_share(range_shingles)
