@@ -136,3 +136,14 @@ def config_audit(blind: DataFrame, truth: DataFrame) -> DataFrame:
     }
     one = both.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(k) for k, c in facts.items()])
     return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("fact"), F.col(k).alias("value")) for k in facts])).alias("x")).select("x.*")
+
+
+def surface_status(labels: Column, declared: Column, told: Column) -> Column:
+    """How a declared number of labels fits the row's own labels and ``told``, JSON of counts by category.
+
+    ``not_told`` if that is null, blank or no object of numbers, ``sums_differ`` if its counts don't add
+    up to ``declared``, ``below_labels`` if fewer are declared than the row has, else ``agrees``.
+    """
+    counts = F.map_values(F.from_json(told, "map<string,bigint>"))
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.when(total.isNull() | (F.size(counts) == 0), "not_told").when(~total.eqNullSafe(declared.cast("long")), "sums_differ").when(declared < labels, "below_labels").otherwise("agrees")
