@@ -173,8 +173,8 @@ def fill(cell: Column, *sources: Column) -> Column:
 def mentioned(text: Column, word: str) -> Column:
     """Whether ``word`` is in ``text`` without a no, not or without up to two words before it."""
     low = F.lower(text)
-    every = F.size(F.regexp_extract_all(low, F.lit(rf"(?U)\b{word}\b"), F.lit(0)))
-    negated = F.size(F.regexp_extract_all(low, F.lit(rf"(?U)\b(?:no|not|without)\s+(?:[a-z]+\s+){{0,2}}{word}\b"), F.lit(0)))
+    every = F.size(F.regexp_extract_all(low, F.lit(X.ascii_word(word)), F.lit(0)))
+    negated = F.size(F.regexp_extract_all(low, F.lit(X.ascii_word(rf"(?:no|not|without)[\t\n\f\r ]+(?:[a-z]+[\t\n\f\r ]+){{0,2}}{word}")), F.lit(0)))
     return every > negated
 
 

@@ -39,6 +39,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
+def ascii_word(pattern: str) -> str:
+    """``pattern`` where no ASCII letter, digit or ``_`` stands beside it; Java's own word ends take other letters in too."""
+    return rf"(?<![0-9A-Za-z_])(?:{pattern})(?![0-9A-Za-z_])"
+
+
 def document_id(corpus: Column, key: Column) -> Column:
     return F.concat(F.lit("DOC-"), F.substring(F.sha2(F.concat_ws("\n", corpus, key), 256), 1, 16))
 

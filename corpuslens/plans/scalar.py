@@ -172,7 +172,7 @@ def backfill_queue(t):
  CASE WHEN contains(lower(text), 'token') AND NOT contains(lower(text), 'no token') THEN 'secret' END], lambda x: x IS NOT NULL)) AS marks FROM documents""")
 def rule_derivation(t):
     low = F.lower("text")
-    rules = F.array(F.when(low.rlike(r"\blicense"), F.lit("license")), F.when(F.col("text").contains("@"), F.lit("contact")), F.when(low.contains("token") & ~low.contains("no token"), F.lit("secret")))
+    rules = F.array(F.when(low.rlike("(?<![0-9a-z_])license"), F.lit("license")), F.when(F.col("text").contains("@"), F.lit("contact")), F.when(low.contains("token") & ~low.contains("no token"), F.lit("secret")))
     return t.documents.select("doc_id", F.array_sort(F.array_compact(rules)).alias("marks"))
 
 
