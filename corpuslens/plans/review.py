@@ -155,8 +155,7 @@ def json_deep_diff(t):
     made = lambda number, inner, tail, more: F.concat(F.lit('{"a":{"k":'), number, F.lit(',"deep":[[1,{"b":'), number, F.lit("}],"), inner, F.lit(']},"run_at":'), F.rand().cast("string"), F.lit(',"list":["'), F.col("event_type"), F.lit('"'), tail, F.lit("]"), more, F.lit("}"))
     old = made(k, F.lit("[]"), F.lit(',"x"'), F.lit(""))
     new = made(F.when(m == 1, (k.cast("int") + 1).cast("string")).otherwise(k), F.when(m == 2, "[[]]").otherwise("[]"), F.when(m == 2, "").otherwise(',"x"'), F.when(m == 3, ',"more":{}').otherwise(""))
-    side = lambda made_of: json_diff.steady(json_diff.leaves(t.events, "event_id", made_of))
-    return json_diff.differences(side(old), side(new), "event_id")
+    return json_diff.changes(t.events.select("event_id", old.alias("old"), new.alias("new")), "event_id", "old", "new")
 
 
 @query("""WITH r AS (SELECT event_id, unnest([{'c': 'related', 'r': event_id + 1}, {'c': 'related', 'r': event_id * 2}, {'c': 'parent', 'r': CASE WHEN event_id % 7 <> 0 THEN event_id - event_id % 7 END}]) AS x FROM events WHERE event_id % 11 <> 0)
