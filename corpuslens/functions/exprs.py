@@ -130,8 +130,9 @@ def crosswalk(c: Column, table: dict[str, str], rest: str) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    forms = ("yyyy-MM-dd", "M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy")
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in forms])
+    """The day written in one of five forms. A form is only tried on texts with its mark, as a failed try costs an exception."""
+    forms = (("-", "yyyy-MM-dd"), ("/", "M/d/yyyy"), (",", "MMMM d, yyyy"), (",", "MMM d, yyyy"), (" ", "d MMMM yyyy"))
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(F.when(c.contains(mark), c), F.lit(f))) for mark, f in forms])
 
 
 #: What follows a quoted term where it is defined.

@@ -3,8 +3,9 @@
 The registry is a table: class, field, type (text, money, date, list), source (gold,
 deterministic, label), legacy_key (the key in old maps; null: the field's name) and
 subclasses (those that have the field; null: all). Every plan below is made from its rows,
-so a new field is a new row. A record is one row a document and field: value (in one
-written form a type), presence and provenance.
+so a new field is a new row, and it goes to all tasks: by class, rows would meet it in a
+task a class. A record is one row a document and field: value (in one written form a type),
+presence and provenance.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def written_value(raw: Column, kind: Column) -> Column:
     that is no list is a list of one), or the text itself.
     """
     some = F.when(F.trim(raw) != "", raw)
-    items = F.coalesce(F.from_json(some, "array<string>"), F.when(~some.startswith("["), F.array(some)))
+    items = F.coalesce(F.from_json(F.when(some.contains("["), some), "array<string>"), F.when(~some.startswith("["), F.array(some)))
     items = F.filter(items, lambda x: F.trim(x) != "")
     money = F.when(~is_na(raw), X.parse_money(some)).cast("decimal(30,2)").cast("string")
     day = F.when(~is_na(raw), X.parse_date(F.trim(some))).cast("string")
@@ -51,11 +52,18 @@ def class_records(rows: DataFrame, registry: DataFrame, labels: DataFrame | None
     absent if it says N/A, else it is pending with the problem ``no value``. Of several
     labels of a cell the overriding one counts, then the first by provenance.
     """
-    each = rows.join(registry, "class")
+    rows = rows.select("document_id", "class", "subclass", "method", "gt", "presence", "derived")
+    if labels is not None:  # they meet the document's one row, before its fields are rows
+        given = F.struct("value", "presence", "provenance")
+        named = labels.join(F.broadcast(registry.select("field")), "field", "left_semi")
+        best = named.groupBy("document_id", "field").agg(F.min_by(F.struct(given.alias("cell"), F.col("override").alias("override")), F.struct(~F.col("override"), F.col("provenance"), F.col("value"))).alias("label"))
+        rows = rows.join(best.groupBy("document_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "label"))).alias("labels")), "document_id", "left")
+    each = rows.join(F.broadcast(registry), "class")
     key = F.coalesce("legacy_key", "field")
     old, code = F.try_element_at("gt", key), F.try_element_at("presence", key)
-    each = each.select("document_id", "class", "subclass", "field", "type", "source", F.coalesce("method", F.lit("unknown")).alias("method"), old.alias("raw"), code.alias("code"), F.try_element_at("derived", F.col("field")).alias("made"), (F.col("subclasses").isNull() | F.array_contains("subclasses", F.coalesce("subclass", F.lit("")))).alias("applies"))
-    value, gold = written_value(F.col("raw"), F.col("type")), F.concat(F.lit("gold:"), "method")
+    each = each.select("document_id", "class", "subclass", "field", "type", "source", F.coalesce("method", F.lit("unknown")).alias("method"), old.alias("raw"), code.alias("code"), F.try_element_at("derived", F.col("field")).alias("made"), (F.col("subclasses").isNull() | F.array_contains("subclasses", F.coalesce("subclass", F.lit("")))).alias("applies"), *([F.try_element_at("labels", F.col("field")).alias("label")] if labels is not None else []))
+    each = each.withColumn("read", written_value(F.col("raw"), F.col("type")))
+    value, gold = F.col("read"), F.concat(F.lit("gold:"), "method")
     cell = lambda v, presence, source: F.struct(v.cast("string").alias("value"), F.lit(presence).alias("presence"), source.alias("provenance"))
     null, no_one = F.lit(None), F.lit("")
     own = F.when(~F.col("applies"), cell(null, NONE, no_one))
@@ -65,12 +73,10 @@ def class_records(rows: DataFrame, registry: DataFrame, labels: DataFrame | None
     own = own.when((F.col("code") == ABSENT) | ((F.col("code") == POPULATED) & is_na(F.col("raw"))), cell(null, ABSENT, gold))
     own = own.when(F.col("code").isNull() & (F.col("source") == "gold") & value.isNotNull(), cell(value, POPULATED, gold)).otherwise(cell(null, PENDING, no_one))
     problem = F.when(F.col("applies") & (F.col("source") != "deterministic") & (F.col("code") == POPULATED) & value.isNull() & ~is_na(F.col("raw")), "no value")
-    out = each.select("document_id", "class", "subclass", "field", "type", own.alias("cell"), problem.alias("problem"))
+    out = each.withColumns({"cell": own, "problem": problem})
     if labels is not None:
-        given = F.struct("value", "presence", "provenance")
-        best = labels.groupBy("document_id", "field").agg(F.min_by(F.struct(given.alias("cell"), F.col("override").alias("override")), F.struct(~F.col("override"), F.col("provenance"), F.col("value"))).alias("label"))
         fills = F.col("label").isNotNull() & (F.col("cell.presence") != NONE) & ((F.col("cell.presence") == PENDING) | F.col("label.override"))
-        out = out.join(best, ["document_id", "field"], "left").withColumn("problem", F.when(~fills, F.col("problem"))).withColumn("cell", F.when(fills, F.col("label.cell")).otherwise(F.col("cell")))
+        out = out.withColumn("problem", F.when(~fills, F.col("problem"))).withColumn("cell", F.when(fills, F.col("label.cell")).otherwise(F.col("cell")))
     return out.select("document_id", "class", "subclass", "field", "type", "cell.value", "cell.presence", "cell.provenance", "problem")
 
 
@@ -86,7 +92,7 @@ def class_table(records: DataFrame, registry: DataFrame, name: str) -> DataFrame
 
 def legacy_maps(records: DataFrame, registry: DataFrame) -> DataFrame:
     """``(document_id, gt, presence, derived)``: the maps from which ``class_records`` makes these records again."""
-    named = records.join(registry.select("class", "field", "source", F.coalesce("legacy_key", "field").alias("key")), ["class", "field"]).where(F.col("presence") != NONE)
+    named = records.join(F.broadcast(registry.select("class", "field", "source", F.coalesce("legacy_key", "field").alias("key"))), ["class", "field"]).where(F.col("presence") != NONE)
     entry = lambda k, v, when: F.map_from_entries(F.collect_list(F.when(when, F.struct(F.col(k).alias("k"), F.col(v).alias("v")))))
     made, here = F.col("source") == "deterministic", F.col("presence") == POPULATED
     return named.groupBy("document_id").agg(entry("key", "value", ~made & here).alias("gt"), entry("key", "presence", ~made).alias("presence"), entry("field", "value", made & here).alias("derived"))
@@ -105,7 +111,7 @@ def registry_parity(registry: DataFrame, pinned: DataFrame) -> DataFrame:
 def schema_law(records: DataFrame, registry: DataFrame) -> DataFrame:
     """Documents that lack a registered field, have a foreign or repeated one, an unknown code, or a value against their code or type."""
     wanted = registry.groupBy("class").agg(F.array_sort(F.collect_list("field")).alias("wanted"))
-    fields = records.groupBy("document_id", "class").agg(F.array_sort(F.collect_list("field")).alias("own")).join(wanted, "class", "left")
+    fields = records.groupBy("document_id", "class").agg(F.array_sort(F.collect_list("field")).alias("own")).join(F.broadcast(wanted), "class", "left")
     keys = _told("fields", fields.where("not (own <=> wanted)"), F.col("class"))
     codes = _told("codes", records.where(~F.coalesce(F.col("presence").isin(*CODES), F.lit(False))), F.coalesce("presence", F.lit("null")))
     wrong = (F.col("value").isNotNull() & ~F.col("value").eqNullSafe(written_value(F.col("value"), F.col("type")))) | (F.col("value").isNotNull() != (F.col("presence") == POPULATED))
@@ -126,10 +132,15 @@ def digest(*columns: str) -> Column:
     return F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("long"))
 
 
-def manifest_law(records: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Classes whose rows or digest aren't those of ``manifest(class, rows, digest)``, or that one side lacks."""
-    own = records.groupBy("class").agg(F.count("*").alias("n"), digest("document_id", "field", "value", "presence").alias("d"))
-    return _told("manifest", own.join(manifest, "class", "full").where("not (n <=> rows) or not (d <=> digest)"), F.col("class"))
+def manifest(records: DataFrame) -> DataFrame:
+    """``(class, rows, digest)`` of each class."""
+    return records.groupBy("class").agg(F.count("*").alias("rows"), digest("document_id", "field", "value", "presence").alias("digest"))
+
+
+def manifest_law(records: DataFrame, stated: DataFrame) -> DataFrame:
+    """Classes whose rows or digest aren't those of ``stated(class, rows, digest)``, or that one side lacks."""
+    own = manifest(records).select("class", F.col("rows").alias("n"), F.col("digest").alias("d"))
+    return _told("manifest", own.join(stated, "class", "full").where("not (n <=> rows) or not (d <=> digest)"), F.col("class"))
 
 
 def sourced(records: DataFrame, field: str) -> DataFrame:
@@ -146,7 +157,12 @@ def residue(records: DataFrame, accepted: DataFrame) -> DataFrame:
     return over.select(F.lit("residue").alias("gate"), F.concat_ws(".", "class", "field").alias("item"), "violations")
 
 
+def standing(records: DataFrame) -> DataFrame:
+    """``(class, field, applicable, covered)``: rows of each field to which it applies, and that are populated or absent."""
+    return records.groupBy("class", "field").agg(F.count_if(F.col("presence") != NONE).alias("applicable"), F.count_if(F.col("presence").isin(POPULATED, ABSENT)).alias("covered"))
+
+
 def card(records: DataFrame, stated: DataFrame) -> DataFrame:
     """Fields whose applicable or covered rows aren't those of ``stated(class, field, applicable, covered)``."""
-    own = records.groupBy("class", "field").agg(F.count_if(F.col("presence") != NONE).alias("a"), F.count_if(F.col("presence").isin(POPULATED, ABSENT)).alias("c"))
+    own = standing(records).select("class", "field", F.col("applicable").alias("a"), F.col("covered").alias("c"))
     return _told("card", own.join(stated, ["class", "field"], "full").where("not (a <=> applicable) or not (c <=> covered)"), F.concat_ws(".", "class", "field"))

@@ -37,13 +37,13 @@ def registry(t) -> DataFrame:
 def _rows(t) -> DataFrame:
     k, m = F.col("doc_id"), lambda n: F.col("doc_id") % n
     graded = t.labels.groupBy("doc_id").agg(F.max("quality").cast("string").alias("quality"))
-    d = t.documents.select("doc_id", "lang", "source", "n_chars", "text").join(graded, "doc_id", "left")
-    first = F.split("text", " ")
+    first = F.col("first")
+    d = t.documents.select("doc_id", "lang", "source", "n_chars", F.substring_index("text", " ", 1).alias("first")).join(graded, "doc_id", "left")
     gt = F.create_map(
         F.lit("amt"), F.when(m(7) == 0, "N/A").when(m(7) == 1, "").otherwise(F.concat(F.lit("$"), F.col("n_chars").cast("string"), F.lit("k"))),
         F.lit("quality"), F.col("quality"),
         F.lit("seen"), F.when(m(5) > 0, F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 900).cast("int")), "M/d/yyyy")),
-        F.lit("kw"), F.when(m(3) == 0, F.to_json(F.array(F.get(first, F.lit(0)), F.lit(" "), F.lit("x")))).otherwise(F.get(first, F.lit(0))),
+        F.lit("kw"), F.when(m(3) == 0, F.to_json(F.array(first, F.lit(" "), F.lit("x")))).otherwise(first),
     )
     presence = F.map_from_entries(F.array_compact(F.array(*[F.when(when, F.struct(F.lit(key), code)) for key, when, code in [
         ("amt", m(7) < 6, F.lit(R.POPULATED)), ("quality", F.col("quality").isNotNull(), F.lit(R.POPULATED)), ("seen", F.lit(True), F.when(m(5) > 0, R.POPULATED).otherwise(R.ABSENT)),
@@ -115,9 +115,9 @@ def record_gates(t):
     release = release.withColumn("value", F.when(m(73) & (field == "amount") & F.col("value").isNotNull(), "a lot").when(m(79) & (field == "kind"), "src0").otherwise(F.col("value")))
     release = written(release.withColumn("field", F.when(m(67) & (field == "risk"), "riskk").otherwise(field)))
     pinned = reg.where("not (class = 'fr' and field = 'kind')").withColumn("type", F.when((F.col("class") == "en") & (field == "seen"), "text").otherwise(F.col("type")))
-    manifest = release.groupBy("class").agg((F.count("*") + F.max((F.col("class") == "es").cast("int"))).alias("rows"), R.digest("document_id", "field", "value", "presence").alias("digest"))
+    manifest = R.manifest(release).withColumn("rows", F.col("rows") + (F.col("class") == "es").cast("int"))
     accepted = reg.where("field = 'grade' or (field = 'risk' and class <> 'fr')").select("class", "field", F.lit(10**9).alias("most"))
-    stated = release.groupBy("class", "field").agg((F.count_if(F.col("presence") != R.NONE) + F.max(((F.col("class") == "de") & (field == "seen")).cast("int"))).alias("applicable"), F.count_if(F.col("presence").isin(R.POPULATED, R.ABSENT)).alias("covered"))
+    stated = R.standing(release).withColumn("applicable", F.col("applicable") + ((F.col("class") == "de") & (field == "seen")).cast("int"))
     gates = [R.registry_parity(reg, pinned), R.schema_law(release, reg), R.round_trip(release, R.legacy_maps(made, reg), reg), R.manifest_law(release, manifest), R.sourced(release, "kind"), R.residue(release, accepted), R.card(release, stated)]
     out = gates[0]
     for g in gates[1:]:

@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,5 +56,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def rows(self, values: list[tuple], schema: str) -> DataFrame:
-        """A small dimension table from literals."""
-        return self.spark.createDataFrame(values, schema)
+        """A small dimension table from literals, local to the plan, so that the planner knows its size and runs no Python for it."""
+        columns = dict(zip(StructType.fromDDL(schema).names, map(list, zip(*values))))
+        return self.spark.createDataFrame(pa.table(columns), schema)

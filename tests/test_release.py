@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -113,6 +114,26 @@ def test_cells_of_class_records(spark):
     assert {(r.document_id, r.amount, tuple(r.names or ())) for r in wide.collect()} == {(1, -1500.0, ("a", "b")), (2, None, ()), (3, 8.0, ()), (4, None, ("q",))}
 
 
+def test_no_rows_are_dealt_by_class(spark, capsys):
+    records, registry = made(spark)
+    for df in (records, R.schema_law(records, registry), R.round_trip(records, R.legacy_maps(records, registry), registry)):
+        df.explain()  # a class is a language, so its rows would meet the registry in one task
+        assert not re.search(r"Exchange hashpartitioning\(class#\d+[L]?, (field#\d+, )?\d+\)[^\n]*\n[^\n]*(Scan|Filter|Project|Join)", capsys.readouterr().out)
+
+
+def test_labels_without_a_field_or_document(spark):
+    registry, rows = spark.createDataFrame(FIELDS, R.REGISTRY), spark.createDataFrame([(1, "c", "s", None, {}, {}, {}), (None, "c", "s", None, {}, {}, {})], MAPS)
+    labels = [(1, None, "x", "populated", "llm:a", False), (1, "foreign", "x", "populated", "llm:a", False), (None, "amount", "9.00", "populated", "llm:a", False), (1, "amount", "7.00", "populated", "llm:a", False)]
+    got = {(r.document_id, r.field): r.value for r in R.class_records(rows, registry, spark.createDataFrame(labels, R.LABELS)).collect()}
+    assert {k: v for k, v in got.items() if v} == {(1, "amount"): "7.00"} and len(got) == 8
+
+
+def test_written_values(spark):
+    rows = [(" [\"a\", \" \"]", "list", '["a"]'), ("\n[\"a\"]", "list", '["a"]'), ("a [b]", "list", '["a [b]"]'), ("[a", "list", None), ("3/1/2020", "date", "2020-03-01"), ("2020-03-01", "date", "2020-03-01"), ("1 March 2020", "date", "2020-03-01"), ("Mar 1, 2020", "date", "2020-03-01"), ("March-1", "date", None), ("n/a", "date", None)]
+    got = spark.createDataFrame(rows, "raw string, kind string, want string").select(R.written_value(F.col("raw"), F.col("kind")).alias("got"), "want").collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
 def test_a_gate_fires_on_its_own_mutation_only(spark):
     records, registry = made(spark)
     records = records.cache()
